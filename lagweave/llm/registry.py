@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat, packing, quality, token_counts
+from . import ann, chat, mixing, packing, quality, token_counts
 
-QUERIES = {f.__name__: f for f in (packing.op2_packing, chat.op4_preferences, token_counts.op6_token_counts, quality.op9_compression_bands)}
+QUERIES = {f.__name__: f for f in (ann.op1_additive_quantisation, packing.op2_packing, mixing.op3_mixing, chat.op4_preferences, token_counts.op6_token_counts, quality.op9_compression_bands)}
 
 SQL: dict[str, str] = {"op4_preferences": chat.OP4_SQL}
