@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import ann, chat, language, mixing, packing, quality, token_counts, toxicity
+from . import ann, chat, language, mixing, packing, quality, suffixes, token_counts, toxicity
 
-QUERIES = {f.__name__: f for f in (ann.op1_additive_quantisation, packing.op2_packing, mixing.op3_mixing, chat.op4_preferences, token_counts.op6_token_counts, language.op8_language_mixture, quality.op9_compression_bands, toxicity.op10_toxic_segments)}
+QUERIES = {f.__name__: f for f in (ann.op1_additive_quantisation, packing.op2_packing, mixing.op3_mixing, chat.op4_preferences, suffixes.op5_suffix_dedup, token_counts.op6_token_counts, language.op8_language_mixture, quality.op9_compression_bands, toxicity.op10_toxic_segments)}
 
 SQL: dict[str, str] = {"op4_preferences": chat.OP4_SQL}
