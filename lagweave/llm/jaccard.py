@@ -369,18 +369,34 @@ def link_sets(texts: DataFrame) -> DataFrame:
 
 
 def component_ids(docs: DataFrame, extra: list[str]) -> DataFrame:
-    """doc_id, the extra long columns, n_shingles, sid, component_id for each row of docs (doc_id, text, extra).
+    """doc_id, the extra long columns, n_shingles, sid, component_id, part for each row of docs (doc_id, text, extra).
 
     component_id is the smallest doc_id that links lead to, itself included; rows with equal sets are linked. A row
-    without words or text has an empty set, no sid, and its own doc_id. A null doc_id is kept and is never the smallest
+    without words or text has an empty set, no sid, no part, and its own doc_id. part names the component even where ids repeat. A null doc_id is kept and is never the smallest
     unless all are null; repeated rows each get a row."""
     ids = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *extra, "text").mapInArrow(_ids(["doc_id", *extra]), ", ".join(f"{c} long" for c in ["doc_id", *extra]) + ", n_shingles long, sid binary"), "jaccard-ids")
     same = ids.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("low"))
     linked = stored(link_sets(docs), "jaccard-components")
     lows = linked.join(same, "sid").groupBy("component").agg(F.min("low").alias("component_low"))
-    by_set = same.join(linked.join(lows, "component").select("sid", "component_low"), "sid", "left").select("sid", F.coalesce("component_low", "low").alias("component_id"))
+    found = linked.join(lows, "component").select("sid", "component_low", F.col("component").cast("string").alias("part"))
+    by_set = same.join(found, "sid", "left").select("sid", F.coalesce("component_low", "low").alias("component_id"), F.coalesce("part", F.hex("sid")).alias("part"))
     return ids.join(by_set, "sid", "left").withColumn("component_id", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, of which one of each component stays: that of the smallest doc_id.
+
+    Of rows with that doc_id the one with the least hashes of its text stays, and of repeated rows one. Rows without words all stay;
+    a null doc_id stays only where its component has no other."""
+    text = F.coalesce("text", F.lit(""))
+    key = docs.withColumns({"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit(7), text), "dk": F.coalesce(F.col("doc_id").cast("string"), F.lit(""))})
+    ids = component_ids(key.select("doc_id", "text", "k1", "k2"), ["k1", "k2"])
+    first = ids.filter("sid IS NOT NULL").groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("w"))
+    winners = first.select("w.k1", "w.k2", F.coalesce(F.col("w.doc_id").cast("string"), F.lit("")).alias("dk"))
+    number = F.row_number().over(W.partitionBy("k1", "k2", "dk").orderBy(*[c for c, t in docs.dtypes if c in ("lang", "source", "n_chars")] or ["dk"]))
+    with_words = key.join(winners, ["k1", "k2", "dk"]).withColumn("number", number).filter("number = 1").select(*docs.columns)
+    return with_words.unionByName(docs.filter(~text.rlike(r"[^\x20\x09-\x0D]")))
+
+
 def op7_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return component_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), []).select("doc_id", "n_shingles", "component_id")

@@ -131,6 +131,24 @@ def mix(docs: DataFrame, seed: int = 17, shards: int | None = None) -> tuple[Dat
     return draws, plan
 
 
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: docs' columns, a row for each draw, dealt by shards and in the shards' local order.
+
+    The one document where a source reaches its target keeps only the words that it gives. docs must be a read that
+    gives its rows in the same order each time, as a table does."""
+    rows_ = docs.withColumn("row_id", F.monotonically_increasing_id())
+    draws, _ = mix(rows_, **options)
+    both = rows_.withColumn("words_", word_count(F.col("text"))).join(draws, "row_id")
+    # a mark after each run of spaces; the text up to the mark after its last word that is taken
+    mark = "\ue000\ue001"
+    marked = F.regexp_replace(F.regexp_replace(F.col("text"), r"^[ \x09-\x0D]+", ""), r"([ \x09-\x0D]+)", "$1" + mark)
+    start = F.replace(F.call_function("substring_index", marked, F.lit(mark), F.col("words").cast("int")), F.lit(mark), F.lit(""))
+    cut = both.withColumn("text", F.when(F.col("words") < F.col("words_"), start).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast("long"))
+    return cut.repartition("shard").sortWithinPartitions("shard", "place", "row_id").select(*docs.columns)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, plan = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
