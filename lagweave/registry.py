@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from .plans import networks, relational
+
+QUERIES: dict = {**relational.QUERIES, **networks.QUERIES}
+SQL: dict[str, str] = {**relational.SQL, **networks.SQL}
