@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from math import lgamma
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -68,10 +72,6 @@ def class_fisher(edges: DataFrame, key: str, cluster: str = "cluster", least: in
 
 def conditional_odds(tests: DataFrame) -> DataFrame:
     """tests (a, b, c, d) with odds_mle, the conditional maximum-likelihood odds ratio, found by bisection."""
-    import numpy as np
-    import pandas as pd
-    from math import lgamma
-
     @F.pandas_udf("double")
     def mle(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
         def one(a: int, b: int, c: int, d: int) -> float:

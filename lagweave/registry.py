@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import networks, relational
+from .plans import models, networks, relational
 
-QUERIES: dict = {**relational.QUERIES, **networks.QUERIES}
-SQL: dict[str, str] = {**relational.SQL, **networks.SQL}
+QUERIES: dict = {**relational.QUERIES, **networks.QUERIES, **models.QUERIES}
+SQL: dict[str, str] = {**relational.SQL, **networks.SQL, **models.SQL}

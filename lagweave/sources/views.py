@@ -6,6 +6,7 @@ Each view is a DataFrame and, for the SQL that checks it, the text of the same v
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -74,7 +75,7 @@ def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     p = standardised(profiles(expression(spark, sf_dir)))
     names = p.select("gene").distinct().orderBy("gene").limit(3)
-    rank = names.select("gene", (F.dense_rank().over(__import__("pyspark").sql.Window.orderBy("gene"))).alias("cluster"))
+    rank = names.select("gene", (F.dense_rank().over(W.orderBy("gene"))).alias("cluster"))
     return fuzzy_membership(p, p.join(rank, "gene").select("cond", "cluster", "time", F.col("z").alias("centre")))
 
 
