@@ -18,8 +18,8 @@ from .common import held_out, rows, table
 BUCKETS, PRIOR, LEAST_Z = 1 << 20, 1.0, 4.0
 #: Score of a neutral token: what makes segments end.
 DRIFT, CEILING = -0.35, 4.0
-#: Labelled documents that fit the calibration at most (a documented bound; counts of tokens cover all rows).
-SAMPLE = 20_000
+#: Labelled documents that the classifier is fitted to (its documented bound), and those of them that fit its calibration; both are expected sizes of draws by a hash of the id.
+LABELLED, SAMPLE = 200_000, 20_000
 
 _TOKEN = re.compile(r"[^\W_]+")
 
@@ -180,19 +180,21 @@ def _evidence_rows(weight, extra: list[str]):
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, tuple[float, float], np.ndarray]:
     """(token scores, extreme-value law, coefficients) from docs (doc_id, text) and labels (doc_id, toxic 0 or 1).
 
-    Token counts cover every labelled row; the model has BUCKETS numbers, whatever the corpus. Law and calibration are fitted to
-    at most SAMPLE labelled documents, drawn by a hash of the id. Of contradicting labels of one id the larger holds."""
+    Fitted to about LABELLED labelled documents, or all if they are fewer, and calibrated on about SAMPLE of them, drawn by a hash
+    of the id: the labels of the draw have a bounded size and are broadcast, so that no text is shuffled. The model has
+    BUCKETS numbers, whatever the corpus. Of contradicting labels of one id the larger holds."""
     spark = docs.sparkSession
     known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    both = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id")
+    drawn = lambda df, n, of: df.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) < int(min(1.0, n / max(1, of)) * (1 << 30)))
+    known = drawn(known, LABELLED, known.count())
+    both = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")
     clean, toxic, size = np.zeros(BUCKETS), np.zeros(BUCKETS), {r.toxic: r["count"] for r in both.groupBy("toxic").count().collect()}
     counted = both.select("text", "toxic").mapInArrow(_count, "bucket int, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     got = counted.toArrow()  # at most BUCKETS rows
     clean[np.asarray(got["bucket"])], toxic[np.asarray(got["bucket"])] = np.asarray(got["clean"]), np.asarray(got["toxic"])
     weight = log_odds(clean, toxic, size.get(0, 0), size.get(1, 0))
-    share = min(1.0, SAMPLE / max(1, sum(size.values())))
-    drawn = both.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(SAMPLE)
-    got = drawn.select("toxic", "text").mapInArrow(_evidence_rows(spark.sparkContext.broadcast(weight), ["toxic"]), "toxic int, n long, best double, total double").collect()
+    evident = _evidence_rows(spark.sparkContext.broadcast(weight), ["toxic"])
+    got = drawn(both, SAMPLE, sum(size.values())).select("toxic", "text").mapInArrow(evident, "toxic int, n long, best double, total double").collect()
     y, n, best, total = (np.array([r[k] for r in got], np.float64) for k in ("toxic", "n", "best", "total"))
     law = extreme_value(best[y == 0], n[y == 0])
     if not len(y):
