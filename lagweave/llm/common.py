@@ -37,6 +37,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until df has no column of that name."""
+    have, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in have:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def held_out(doc_id: Column) -> Column:
     """True where crc32 of the id as text is 0 modulo 5; a null id counts as the text ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import fresh, stored, table
 
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
 #: Blocks of a source at most, and documents of a block at least, on average; both only set the grain.
@@ -136,17 +136,19 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
 
     The one document where a source reaches its target keeps only the words that it gives. docs must be a read that
     gives its rows in the same order each time, as a table does."""
-    rows_ = docs.withColumn("row_id", F.monotonically_increasing_id())
-    draws, _ = mix(rows_, **options)
-    both = rows_.withColumn("words_", word_count(F.col("text"))).join(draws, "row_id")
+    row_id, size, shard, place, words = fresh(docs, "row_id", "size", "shard", "place", "words")
+    rows_ = docs.withColumn(row_id, F.monotonically_increasing_id())
+    draws, _ = mix(rows_.select(F.col(row_id).alias("row_id"), "doc_id", "source", "text"), **options)
+    draws = draws.select(F.col("row_id").alias(row_id), F.col("shard").alias(shard), F.col("place").alias(place), F.col("words").alias(words))
+    both = rows_.withColumn(size, word_count(F.col("text"))).join(draws, row_id)
     # a mark after each run of spaces; the text up to the mark after its last word that is taken
     mark = "\ue000\ue001"
     marked = F.regexp_replace(F.regexp_replace(F.col("text"), r"^[ \x09-\x0D]+", ""), r"([ \x09-\x0D]+)", "$1" + mark)
-    start = F.replace(F.call_function("substring_index", marked, F.lit(mark), F.col("words").cast("int")), F.lit(mark), F.lit(""))
-    cut = both.withColumn("text", F.when(F.col("words") < F.col("words_"), start).otherwise(F.col("text")))
+    start = F.replace(F.call_function("substring_index", marked, F.lit(mark), F.col(words).cast("int")), F.lit(mark), F.lit(""))
+    cut = both.withColumn("text", F.when(F.col(words) < F.col(size), start).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast("long"))
-    return cut.repartition("shard").sortWithinPartitions("shard", "place", "row_id").select(*docs.columns)
+    return cut.repartition(shard).sortWithinPartitions(shard, place, row_id).select(*docs.columns)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, rows, table
+from .common import fresh, new_path, rows, table
 from .tokens import encoder, tokenizer_version
 
 CACHE = "content string, tokenizer string, n_tokens long"
@@ -41,7 +41,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, normalise: Callabl
     The cache is a Parquet table of counts by digest of the normalised content and digest of the
     tokenizer's file and library. Only distinct contents that it lacks are encoded, once each, and
     appended before they are joined; equal texts in any number cost one encoding. A null text counts
-    as the empty one; a column n_tokens or content of docs is replaced; two runs that append at the same
+    as the empty one; a column n_tokens of docs is replaced; two runs that append at the same
     time may both store a content, which the join collapses.
     """
     spark, version = docs.sparkSession, tokenizer_version(tokenizer)
@@ -56,7 +56,9 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, normalise: Callabl
     )
     misses.mapInArrow(_encode(tokenizer), CACHE).write.mode("append").parquet(cache)
     counts = open_cache(spark, cache).filter(F.col("tokenizer") == version).groupBy("content").agg(F.first("n_tokens").alias("n_tokens"))
-    return docs.drop("n_tokens", "content").withColumn("content", digest).join(counts, "content").drop("content")
+    own = docs.drop("n_tokens")
+    (content,) = fresh(own, "content")
+    return own.withColumn(content, digest).join(counts.withColumnRenamed("content", content), content).drop(content)
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
