@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import mix64, rows, stored, table
+from .common import fresh, mix64, rows, stored, table
 from .graph import components
 from .suffixes import _BASE, _INVERSE, _LETTER, _powers
 
@@ -92,8 +92,11 @@ def least_overlap(n):
 
 
 def need(n):
-    """Leading shingles, over the bare prefix, that are exchanged in the order of hashes, and so must be shared."""
-    return 1 + n // 50
+    """Leading shingles, over the bare prefix, that are exchanged in the order of hashes, and so must be shared.
+
+    A tenth of the set: then more than a quarter of the leading shingles must be shared, which the chance
+    sharing of common word sequences does not reach, however large the corpus."""
+    return 1 + n // 10
 
 
 def _dealt(key: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
@@ -126,7 +129,7 @@ def _blobs(found: list[tuple[int, bytes]], key: str) -> pa.RecordBatch:
 
 
 def _leading(buckets: int):
-    """Leading shingles by hash: blobs (hash, tag, least count of shared ones) by buckets of the hash."""
+    """Leading shingles by hash: blobs (48 bits of the hash, tag, least count of shared ones) by buckets of the hash. Hashes that are cut alike only keep a set that could go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -135,7 +138,7 @@ def _leading(buckets: int):
 
         def give() -> pa.RecordBatch:
             h, tag, least = (np.concatenate(c) for c in zip(*parts, strict=True))
-            return _blobs([(k, _pack(h[i], tag[i], least[i])) for k, i in _dealt(h, buckets)], "bucket")
+            return _blobs([(k, _pack(h[i] >> np.uint64(16), tag[i], least[i])) for k, i in _dealt(h, buckets)], "bucket")
 
         for _, sets in _looks(batches, []):
             for s in sets:
@@ -389,12 +392,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Of rows with that doc_id the one with the least hashes of its text stays, and of repeated rows one. Rows without words all stay;
     a null doc_id stays only where its component has no other."""
     text = F.coalesce("text", F.lit(""))
-    key = docs.withColumns({"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit(7), text), "dk": F.coalesce(F.col("doc_id").cast("string"), F.lit(""))})
-    ids = component_ids(key.select("doc_id", "text", "k1", "k2"), ["k1", "k2"])
+    k1, k2, dk, number = fresh(docs, "k1", "k2", "dk", "number")
+    key = docs.withColumns({k1: F.xxhash64(text), k2: F.xxhash64(F.lit(7), text), dk: F.coalesce(F.col("doc_id").cast("string"), F.lit(""))})
+    ids = component_ids(key.select("doc_id", "text", F.col(k1).alias("k1"), F.col(k2).alias("k2")), ["k1", "k2"])
     first = ids.filter("sid IS NOT NULL").groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("w"))
-    winners = first.select("w.k1", "w.k2", F.coalesce(F.col("w.doc_id").cast("string"), F.lit("")).alias("dk"))
-    number = F.row_number().over(W.partitionBy("k1", "k2", "dk").orderBy(*[c for c, t in docs.dtypes if c in ("lang", "source", "n_chars")] or ["dk"]))
-    with_words = key.join(winners, ["k1", "k2", "dk"]).withColumn("number", number).filter("number = 1").select(*docs.columns)
+    winners = first.select(F.col("w.k1").alias(k1), F.col("w.k2").alias(k2), F.coalesce(F.col("w.doc_id").cast("string"), F.lit("")).alias(dk))
+    one = F.row_number().over(W.partitionBy(k1, k2, dk).orderBy(*[c for c in ("lang", "source", "n_chars") if c in docs.columns] or [dk]))
+    with_words = key.join(winners, [k1, k2, dk]).withColumn(number, one).filter(F.col(number) == 1).select(*docs.columns)
     return with_words.unionByName(docs.filter(~text.rlike(r"[^\x20\x09-\x0D]")))
 
 

@@ -24,9 +24,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix64, stored, table
+from .common import fresh, mix64, stored, table
 
-LENGTH, K = 400, 24
+LENGTH, K = 400, 48
+CLASS = 100
 #: Bits of the slots of the bitmap (32 MB), and of a block of it.
 SLOT, BLOCK = 28, 16
 #: Bytes of text that are looked at a time, bytes of a sorted run, windows that are compared at a time, splitters' samples.
@@ -45,13 +46,13 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def _hashes(buf: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the K = 24 bytes at each position."""
-    power = [np.uint64(pow(_BASE, n, 2**64)) for n in (1, 2, 4, 8)]
+    """A 64-bit hash of the K = 48 bytes at each position."""
     h = _LETTER[buf]
-    for n, p in zip((1, 2, 4), power[:3], strict=True):
-        h = h[:-n] * p + h[n:]
-    double = h[:-8] * power[3] + h[8:]
-    return mix64(double[: len(h) - 16] * power[3] + h[16:])
+    for n in (1, 2, 4, 8):
+        h = h[:-n] * np.uint64(pow(_BASE, n, 2**64)) + h[n:]
+    p = np.uint64(pow(_BASE, 16, 2**64))
+    double = h[:-16] * p + h[16:]
+    return mix64(double[: len(h) - 32] * p + h[32:])
 
 
 def anchors(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -84,6 +85,22 @@ def anchors(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.
     return least[first], first, last, h[least[first]]
 
 
+def cores(buf: np.ndarray, at: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(anchor's number, class, first window, last window, slot of the core): an anchor's windows by classes of their distance, in this order."""
+    total = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(_LETTER[buf] * _powers(_BASE, len(buf)), out=total[1:])
+    inverse, out = _powers(_INVERSE, len(buf) + 1), []
+    for k in range(LENGTH // CLASS):
+        low, high = np.maximum(at - last, k * CLASS), np.minimum(at - first, (k + 1) * CLASS - 1)
+        i = np.flatnonzero(low <= high)
+        a = at[i] - k * CLASS
+        slot = mix64((total[a + LENGTH - CLASS] - total[a]) * inverse[a] + np.uint64(k)) >> np.uint64(64 - SLOT)
+        out.append((i, np.full(len(i), k), at[i] - high[i], at[i] - low[i], slot.astype(np.int64)))
+    own, kind, first, last, slot = (np.concatenate(c) for c in zip(*out, strict=True))
+    order = np.lexsort((kind, own))
+    return own[order], kind[order], first[order], last[order], slot[order]
+
+
 def _looks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, list[tuple[int, int, int]], np.ndarray, np.ndarray]]:
     """(bytes, [(k1, k2, place in the text)], starts, sizes): texts of a task by about PIECE bytes; longer ones in pieces whose windows follow each other."""
     parts, keys, n = [], [], 0
@@ -110,8 +127,9 @@ def _note(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Slots of a task's anchors by blocks of the bitmap (seen once, seen more often); in blocks below 0 samples of the suffixes."""
     slots, samples = [], {}
     for data, _, starts, sizes in _looks(batches):
-        at, _, _, h = anchors(np.frombuffer(data, np.uint8), starts, sizes)
-        slots.append((h >> np.uint64(64 - SLOT)).astype(np.int64))
+        buf = np.frombuffer(data, np.uint8)
+        at, first, last, h = anchors(buf, starts, sizes)
+        slots.append(cores(buf, at, first, last)[4])
         for k in np.argsort(h * np.uint64(0xD6E8FEB86659FD93))[:64].tolist():
             samples[int(h[k])] = data[at[k] : at[k] + K]
         samples = dict(sorted(samples.items())[:64])
@@ -254,11 +272,18 @@ def _runs(bitmap, splitters: list[bytes]):
             return pa.record_batch([pa.array([g[0] for g in got], pa.int32()), pa.array([number] * len(got), pa.int64()), pa.array([g[1] for g in got], pa.binary())], names=["part", "run", "blob"])
 
         for data, keys, starts, sizes in _looks(batches):
-            at, first, last, h = anchors(np.frombuffer(data, np.uint8), starts, sizes)
-            slot = (h >> np.uint64(64 - SLOT)).astype(np.int64)
+            buf = np.frombuffer(data, np.uint8)
+            at, first, last, _ = anchors(buf, starts, sizes)
+            own, kind, first, last, slot = cores(buf, at, first, last)
             hit = np.flatnonzero((bitmap.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1)
-            own = np.searchsorted(starts, at[hit], side="right") - 1
-            for k, p, a, b in zip(own.tolist(), at[hit].tolist(), first[hit].tolist(), last[hit].tolist(), strict=True):
+            own, kind, first, last = own[hit], kind[hit], first[hit], last[hit]
+            new = np.ones(len(own), bool)  # classes that follow each other make one entry
+            new[1:] = (own[1:] != own[:-1]) | (kind[1:] != kind[:-1] + 1)
+            head = np.flatnonzero(new)
+            tail = np.append(head[1:], len(own))[: len(head)] - 1
+            own, first, last = own[head], first[tail], last[head]
+            doc = np.searchsorted(starts, at[own], side="right") - 1
+            for k, p, a, b in zip(doc.tolist(), at[own].tolist(), first.tolist(), last.tolist(), strict=True):
                 k1, k2, place = keys[k]
                 entry = data[p : b + LENGTH], data[a:p]
                 member = k1, k2, place + p - int(starts[k])
@@ -336,27 +361,29 @@ def _merge(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(np.concatenate(found) if found else np.zeros((0, 4), np.int64), columns=["k1", "k2", "begin", "end"]).drop_duplicates()
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        out, texts = [], []
-        for text, spans in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
-            data, kept, at, n_spans, removed = (text or "").encode(), [], 0, 0, 0
-            end = -1
-            for s in sorted(spans or [], key=lambda s: (s["begin"], s["end"])):
-                if s["begin"] > end:
-                    n_spans += 1
-                    kept.append(data[at : s["begin"]])
-                    end = s["begin"]
-                removed += max(0, s["end"] - end)
-                at = end = max(end, s["end"])
-            kept = b"".join([*kept, data[at:]])
-            out.append((len(data), removed, n_spans, hashlib.sha256(kept).hexdigest()))
-            texts.append(None if text is None else kept.decode("utf-8", "ignore") if removed else text)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
-        names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-        columns = {n: b.column(n) for n in b.schema.names if n not in ("text", "spans", "k1", "k2")}
-        columns |= {n: pa.array([o[k] for o in out], kind) for k, (n, kind) in enumerate(zip(names, kinds, strict=True))}
-        yield pa.record_batch([*columns.values(), pa.array(texts, pa.string())], names=[*columns, "text"])
+def _cut(spans_: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out, texts = [], []
+            for text, spans in zip(b.column("text").to_pylist(), b.column(spans_).to_pylist(), strict=True):
+                data, kept, at, n_spans, removed = (text or "").encode(), [], 0, 0, 0
+                end = -1
+                for s in sorted(spans or [], key=lambda s: (s["begin"], s["end"])):
+                    if s["begin"] > end:
+                        n_spans += 1
+                        kept.append(data[at : s["begin"]])
+                        end = s["begin"]
+                    removed += max(0, s["end"] - end)
+                    at = end = max(end, s["end"])
+                kept = b"".join([*kept, data[at:]])
+                out.append((len(data), removed, n_spans, hashlib.sha256(kept).hexdigest()))
+                texts.append(None if text is None else kept.decode("utf-8", "ignore") if removed else text)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+            columns = {n: b.column(n) for n in b.schema.names if n not in ("text", spans_)}
+            columns |= {n: pa.array([o[k] for o in out], kind) for k, (n, kind) in enumerate(zip(("n_bytes", "n_removed", "n_spans", "kept_sha256"), kinds, strict=True))}
+            yield pa.record_batch([*columns.values(), pa.array(texts, pa.string())], names=[*columns, "text"])
+
+    return run
 
 
 def _keys(text: Column) -> dict[str, Column]:
@@ -390,11 +417,13 @@ def dedup(docs: DataFrame) -> DataFrame:
     of the names that are added are replaced. A row's result depends on its text alone, so ties and repeated rows need no rule.
     """
     added = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string"}
-    spans = stored(repeats(docs), "suffix-spans").groupBy("k1", "k2").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
-    own = docs.drop("k1", "k2", "spans", *added)
-    both = own.withColumns(_keys(F.col("text"))).join(spans, ["k1", "k2"], "left")
+    own = docs.drop(*added)
+    k1, k2, spans = fresh(own, "k1", "k2", "spans")
+    found = stored(repeats(docs), "suffix-spans").groupBy("k1", "k2").agg(F.collect_set(F.struct("begin", "end")).alias(spans)).withColumnsRenamed({"k1": k1, "k2": k2})
+    keys = _keys(F.col("text"))
+    both = own.withColumns({k1: keys["k1"], k2: keys["k2"]}).join(found, [k1, k2], "left").drop(k1, k2)
     schema = ", ".join([f"`{n}` {t}" for n, t in own.dtypes if n != "text"] + [f"{n} {t}" for n, t in added.items()] + ["text string"])
-    return both.mapInArrow(_cut, schema).select(*own.columns, *added)
+    return both.mapInArrow(_cut(spans), schema).select(*own.columns, *added)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
