@@ -157,6 +157,28 @@ def connected(edges: DataFrame, seed: str, rounds: int = 30) -> DataFrame:
     return reached
 
 
+def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+    """node, component (its least node) for the nodes of edges (a, b); each round goes to the checkpoint folder.
+
+    Every node's larger neighbours, then its smaller ones, point to its least neighbour: rounds grow with the logarithm of the nodes."""
+    now, before = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint(), None
+    for _ in range(rounds):
+        both = now.union(now.select("v", "u"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        now = small.select("e.u", "e.v").filter("u <> v").distinct().checkpoint()
+        state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
+        if state == before:
+            break
+        before = state
+    else:
+        raise RuntimeError("components did not settle")
+    ends = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return ends.union(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))
+
+
 def anchored(edges: DataFrame, primary: DataFrame, hops: int = 2) -> DataFrame:
     """Edges that touch a primary anchor or a secondary one (within some hops of a primary), of the four classes."""
     kept = edges.filter(F.col("edge_class").isin(*CHANGED, "Conserved"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.maths import hypergeometric_tail
 from ..functions.strings import gc_fraction, kmers
+from .network import components
 
 
 def regions(genes: DataFrame, bounds: dict[str, tuple[int, int]]) -> DataFrame:
@@ -61,35 +64,65 @@ def matched_negatives(genes: DataFrame, bins: int = 10, ratio: int = 3, seed: in
 def near_kmers(words: DataFrame, most: int = 2) -> DataFrame:
     """a, b, distance: pairs of k-mers of a group (group, kmer) within an edit distance.
 
-    Words within `most` edits share, of most + 1 pieces cut from either, one at a place shifted by at most `most`: the join is on pieces."""
+    Words within `most` edits share, of most + 1 pieces cut from either, one at a place shifted by at most `most`: the join is on pieces. A word of at
+    most `most` letters may share none, and meets all words of twice that length by the empty piece."""
     pieces = most + 1
     w = words.select("group", "kmer").distinct().withColumn("n", F.length("kmer"))
     size = F.greatest(F.lit(1), F.floor(F.col("n") / pieces)).cast("int")
     cut = F.expr(f"transform(sequence(0, {pieces - 1}), i -> struct(i as i, substring(kmer, i * z + 1, case when i = {pieces - 1} then n else z end) as piece))")
-    own = w.withColumn("z", size).withColumn("x", F.explode(cut)).select("group", F.col("kmer").alias("a"), F.col("x.piece").alias("piece")).filter("piece <> ''").distinct()
+    own = w.withColumn("z", size).withColumn("x", F.explode(cut)).select("group", "n", F.col("kmer").alias("a"), F.col("x.piece").alias("piece")).filter(f"piece <> '' OR n <= {most}").drop("n").distinct()
     sizes = own.select("group", F.length("piece").alias("m")).distinct()
-    grams = w.join(sizes, "group").filter("m <= n").withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n") - F.col("m") + 1))).select("group", F.col("kmer").alias("b"), F.substring("kmer", F.col("i"), F.col("m")).alias("piece")).distinct()
+    grams = w.join(sizes, "group").filter(f"m <= n AND (m > 0 OR n <= {2 * most})").withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n") - F.col("m") + 1))).select("group", F.col("kmer").alias("b"), F.substring("kmer", F.col("i"), F.col("m")).alias("piece")).distinct()
     pairs = own.join(grams, ["group", "piece"]).filter("a < b").select("group", "a", "b").distinct()
     return pairs.withColumn("distance", F.levenshtein("a", "b")).filter(F.col("distance") <= most)
 
 
 def families(words: DataFrame, cut: float = 2.0) -> DataFrame:
-    """group, kmer, family: complete-linkage clusters of the k-mers of a group at an edit distance; a group is the short list of one cluster and region."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = sorted(pdf["kmer"].unique())
-        d = np.array([[_edits(a, b) for b in names] for a in names], float)
-        groups = [[k] for k in range(len(names))]
-        while len(groups) > 1:
-            far = [(max(d[i, j] for i in a for j in b), x, y) for x, a in enumerate(groups) for y, b in enumerate(groups) if x < y]
-            best = min(far)
-            if best[0] > cut:
-                break
-            groups[best[1]] += groups.pop(best[2])
-        family = {names[i]: k + 1 for k, g in enumerate(sorted(groups, key=min)) for i in g}
-        return pd.DataFrame({"group": [pdf["group"].iloc[0]] * len(names), "kmer": names, "family": [family[n] for n in names]})
-
-    return words.groupBy("group").applyInPandas(one, "group string, kmer string, family int")
+    """group, kmer, family: complete-linkage clusters of the k-mers of a group (group, kmer) at an edit distance, numbered by their least k-mer.
+
+    Clusters merge nearest first, ties by their least k-mers. All pairs of a cluster are within the cut, so clusters lie inside the
+    connected components of near_kmers(), and the merges of one component do not bear on another's: a task holds the near pairs
+    of one component, never all pairs of a group. Rows without group or k-mer take no part."""
+    w = words.select("group", "kmer").filter("group IS NOT NULL AND kmer IS NOT NULL").distinct()
+    pairs = near_kmers(w, int(cut)).checkpoint()
+    # a node is a hash: equal ones of different k-mers would only lay two components into one task
+    node = lambda c: F.xxhash64("group", c)
+    parts = components(pairs.select(node("a").alias("a"), node("b").alias("b")))
+    whole = pairs.join(parts, node("a") == F.col("node")).select("group", "component", "a", "b", "distance")
+    linked = whole.groupBy("group", "component").applyInPandas(_linked, "group string, kmer string, head string")
+    heads = w.join(linked, ["group", "kmer"], "left").select("group", "kmer", F.coalesce("head", "kmer").alias("head"))
+    number = heads.select("group", "head").distinct().withColumn("family", F.row_number().over(W.partitionBy("group").orderBy("head")))
+    return heads.join(number, ["group", "head"]).select("group", "kmer", "family")
+
+
+def _linked(pairs: pd.DataFrame) -> pd.DataFrame:
+    """group, kmer, head (least k-mer of its cluster) by complete linkage over all pairs within the cut (group, a, b, distance) of a component.
+
+    near[x][y] is the largest distance between clusters x and y, which are named by their heads; pairs beyond the cut are not there."""
+    near: dict[str, dict[str, int]] = {}
+    for a, b, d in zip(pairs["a"], pairs["b"], pairs["distance"], strict=True):
+        near.setdefault(a, {})[b] = near.setdefault(b, {})[a] = int(d)
+    members = {x: [x] for x in near}
+    heap = [(d, x, y) for x, ys in near.items() for y, d in ys.items() if x < y]
+    heapq.heapify(heap)
+    while heap:
+        d, x, y = heapq.heappop(heap)
+        if near.get(x, {}).get(y) != d:
+            continue  # merged, or farther since
+        members[x] += members.pop(y)
+        mine, other = near.pop(x), near.pop(y)
+        near[x] = both = {z: max(mine[z], other[z]) for z in mine.keys() & other.keys()}
+        for z in mine.keys() | other.keys():
+            if z in (x, y):
+                continue
+            near[z].pop(y, None)
+            if z not in both:
+                near[z].pop(x, None)
+            elif near[z].get(x) != both[z]:
+                near[z][x] = both[z]
+                heapq.heappush(heap, (both[z], min(x, z), max(x, z)))
+    out = [(m, head) for head, ms in members.items() for m in ms]
+    return pd.DataFrame({"group": [pairs["group"].iloc[0]] * len(out), "kmer": [m for m, _ in out], "head": [h for _, h in out]})
 
 
 def _edits(a: str, b: str) -> int:

@@ -94,6 +94,33 @@ def test_near_kmers_against_all_pairs(spark):
     assert got == want
 
 
+def all_pairs_families(names, cut):
+    """Complete linkage by rescanning all pairs of clusters, nearest first, ties by the least names."""
+    groups = [[x] for x in sorted(names)]
+    while len(groups) > 1:
+        far, x, y = min((max(Q._edits(a, b) for a in groups[x] for b in groups[y]), x, y) for y in range(len(groups)) for x in range(y))
+        if far > cut:
+            break
+        groups[x] += groups.pop(y)
+    return {n: k + 1 for k, g in enumerate(sorted(groups, key=min)) for n in g}
+
+
+def test_families_against_all_pairs(spark):
+    draw = np.random.default_rng(2)
+    words = {g: {"".join(draw.choice(list("ACGT"), draw.integers(1, 8))) for _ in range(n)} for g, n in (("g", 45), ("h", 12), ("i", 1))}
+    rows = [(g, w) for g, ws in words.items() for w in sorted(ws)] + [("g", min(words["g"])), ("j", None)]
+    got = {(r.group, r.kmer): r.family for r in Q.families(spark.createDataFrame(rows, "group string, kmer string")).collect()}
+    assert got == {(g, w): k for g, ws in words.items() for w, k in all_pairs_families(ws, 2).items()}
+
+
+def test_families_of_all_parts(spark, tmp_path):
+    from lagweave.plans import models
+
+    parts = [(k, "azure" if k <= 400 else "zzzzzz", "b") for k in range(395, 405)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    assert len({r.kmer for r in models.QUERIES["cl9_families"](spark, str(tmp_path)).collect()}) == 2
+
+
 def test_motif_matches_itself():
     m = np.array([[0.7, 0.1, 0.1, 0.1], [0.1, 0.7, 0.1, 0.1], [0.25, 0.25, 0.25, 0.25], [0.1, 0.1, 0.1, 0.7]])
     assert Q.column_correlation(m, m) == pytest.approx(0.75)
