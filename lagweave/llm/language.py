@@ -2,23 +2,37 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, rows, table
+from .common import held_out, rows, stored, table
 
-#: Buckets of hashed trigrams of letters, pseudo-count of each bucket, most languages of a model, EM rounds.
-BUCKETS, PRIOR, MOST_LANGUAGES, ROUNDS = 1 << 16, 0.1, 1000, 30
+#: Buckets of hashed trigrams of letters, pseudo-count of each bucket, EM rounds.
+BUCKETS, PRIOR, ROUNDS = 1 << 16, 0.1, 30
+#: Languages that a task counts at a time, entries of a model that the driver reads at a time, and numbers (words by languages) that are looked at in memory at a time. None bounds a result.
+HELD, SLICE, CELLS = 128, 4 << 20, 4 << 20
 #: Letters that are looked at a time.
 SPAN = 1 << 20
 
 _LETTER: np.ndarray | None = None
 
 
+class Model(NamedTuple):
+    """Languages in order of code points, log-likelihood of a bucket that a language never had, and by how much those that it had exceed it: entries first[b] to first[b + 1] are the languages and gains of bucket b."""
+
+    names: list[str]
+    base: np.ndarray
+    first: np.ndarray
+    lang: np.ndarray
+    gain: np.ndarray
+
+
 def _letters() -> np.ndarray:
     """For each code point, whether it is a letter."""
     global _LETTER
@@ -40,47 +54,85 @@ def trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of trigrams by language over a task's documents."""
+    """Counts of trigrams by language over a task's documents; given whenever HELD languages are counted."""
     total: dict[str, np.ndarray] = {}
+
+    def give() -> Iterator[pa.RecordBatch]:
+        for lang, have in total.items():
+            at = np.flatnonzero(have)
+            yield pa.record_batch([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(have[at], pa.int64())], names=["lang", "bucket", "n"])
+        total.clear()
+
     for b in rows(batches):
         for text, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True):
-            have = total.setdefault(lang, np.zeros(BUCKETS, np.int64))
+            if lang not in total:
+                if len(total) >= HELD:
+                    yield from give()
+                total[lang] = np.zeros(BUCKETS, np.int64)
             for at in range(0, len(text), SPAN):
-                have += np.bincount(trigrams(text[at : at + SPAN])[0], minlength=BUCKETS)
-    for lang, have in total.items():
-        at = np.flatnonzero(have)
-        yield pa.record_batch([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(have[at], pa.int64())], names=["lang", "bucket", "n"])
+                total[lang] += np.bincount(trigrams(text[at : at + SPAN])[0], minlength=BUCKETS)
+    yield from give()
 
 
-def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """(languages in order of code points, log-likelihood of each bucket by language) from the text and lang of docs.
+def fit(docs: DataFrame) -> Model:
+    """The model of all languages in the text and lang of docs.
 
-    Counts cover all of docs; the model has BUCKETS numbers a language, whatever the corpus. Rows without text or lang take no part."""
+    Counts cover all of docs. The model has an entry for each bucket that a language has, at most BUCKETS a language, whatever the
+    corpus; it is read by slices and broadcast. Rows without text or lang, and languages without a letter, take no part."""
     known = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
     counted = known.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    got = counted.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("x")).orderBy(F.desc(F.size("x")), "lang").limit(MOST_LANGUAGES).collect()
-    got = sorted(got, key=lambda r: [ord(c) for c in r.lang])
-    count = np.full((BUCKETS, len(got)), PRIOR)
-    for k, r in enumerate(got):
-        x = np.array([(i.bucket, i.n) for i in r.x], np.int64)
-        count[x[:, 0], k] += x[:, 1]
-    return [r.lang for r in got], np.log(count / count.sum(axis=0)) if len(got) else count
-
-
-def proportions(words: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
-    """(language proportions of a document, log-likelihood): EM over its words; words[i, k] is the log-likelihood of word i in language k."""
-    top = words.max(axis=1, keepdims=True)
-    like = np.exp(words - top)
-    share = np.full(words.shape[1], 1 / words.shape[1])
+    counted = stored(counted, "language-counts")
+    got = sorted(counted.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("entries")).collect(), key=lambda r: [ord(c) for c in r.lang])
+    base = np.log(PRIOR / (np.array([r.n for r in got], np.float64) + PRIOR * BUCKETS))
+    if not got:
+        return Model([], base, np.zeros(BUCKETS + 1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32))
+    numbers = docs.sparkSession.createDataFrame([(r.lang, k) for k, r in enumerate(got)], "lang string, number int")
+    entries = counted.join(F.broadcast(numbers), "lang").select("bucket", "number", F.log(F.col("n") / PRIOR + 1).cast("float").alias("gain"))
+    slices = min(BUCKETS, 1 + sum(r.entries for r in got) // SLICE)
+    cuts = [BUCKETS * k // slices for k in range(slices + 1)]
+    size, lang, gain = np.zeros(BUCKETS + 1, np.int64), [], []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        part = entries.filter((F.col("bucket") >= a) & (F.col("bucket") < b)).toArrow()
+        bucket, number = np.asarray(part["bucket"]), np.asarray(part["number"])
+        order = np.lexsort((number, bucket))
+        size[1:] += np.bincount(bucket, minlength=BUCKETS)
+        lang.append(number[order])
+        gain.append(np.asarray(part["gain"])[order])
+    return Model([r.lang for r in got], base, np.cumsum(size), np.concatenate(lang), np.concatenate(gain))
+
+
+def proportions(words: np.ndarray, chosen: np.ndarray | None = None, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+    """(proportions of the chosen languages, or all, in a document, log-likelihood): EM over its words; words[i, k] is the log-likelihood of word i in language k.
+
+    CELLS numbers are looked at at a time."""
+    n = words.shape[1] if chosen is None else len(chosen)
+    step = max(1, CELLS // n)
+
+    def look(at: int) -> tuple[np.ndarray, np.ndarray]:
+        part = words[at : at + step]
+        part = (part if chosen is None else part[:, chosen]).astype(np.float64)
+        top = part.max(axis=1, keepdims=True)
+        return np.exp(part - top), top[:, 0]
+
+    starts = range(0, len(words), step)
+    whole = look(0) if len(starts) == 1 else None
+    share = np.full(n, 1 / n)
     for _ in range(rounds):
-        part = like * share
-        part /= part.sum(axis=1, keepdims=True)
-        now = part.mean(axis=0)
-        done = np.abs(now - share).max() < 1e-4
+        now = np.zeros(n)
+        for at in starts:
+            part = (whole or look(at))[0] * share
+            part /= part.sum(axis=1, keepdims=True)
+            now += part.sum(axis=0)
+        now /= len(words)
+        done = np.abs(now - share).max() < min(1e-4, 0.1 / n)
         share = now
         if done:
             break
-    return share, float((np.log(like @ share + 1e-300) + top[:, 0]).sum())
+    fit_ = 0.0
+    for at in starts:
+        like, top = whole or look(at)
+        fit_ += float((np.log(like @ share + 1e-300) + top).sum())
+    return share, fit_
 
 
 def infer(words: np.ndarray) -> np.ndarray:
@@ -94,7 +146,7 @@ def infer(words: np.ndarray) -> np.ndarray:
         drop = share < max(1e-3, 0.5 / len(words))
         if not drop.any() or drop.all():
             drop = np.arange(len(chosen)) == np.argmin(share)
-        less, less_fit = proportions(words[:, chosen[~drop]])
+        less, less_fit = proportions(words, chosen[~drop])
         if less_fit + penalty * drop.sum() < fit_:
             break
         chosen, share, fit_ = chosen[~drop], less, less_fit
@@ -103,29 +155,53 @@ def infer(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_likelihoods(text: str, table_: np.ndarray) -> np.ndarray:
-    """One row for each word of a text, a column for each language. A word that spans two looks of SPAN characters counts as two."""
-    out = []
-    for at in range(0, len(text), SPAN):
-        grams, word = trigrams(text[at : at + SPAN])
-        if len(grams):
-            out.append(np.add.reduceat(table_[grams], np.flatnonzero(np.diff(word, prepend=-1)), axis=0))
-    return np.concatenate(out) if out else np.zeros((0, table_.shape[1]))
+def _add(out: np.ndarray, grams: np.ndarray, word: np.ndarray, model: Model) -> None:
+    """Add the log-likelihoods of trigrams to the rows of their words, by runs of at most about CELLS numbers."""
+    n = len(model.names)
+    count = model.first[grams + 1] - model.first[grams]
+    cost = np.cumsum(count + np.where(np.diff(word, prepend=-1) != 0, n, 0))
+    cuts = np.unique(np.concatenate([[0], np.searchsorted(cost, np.arange(CELLS, cost[-1], CELLS), side="left") + 1, [len(grams)]]))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        low, high, many = int(word[a]), int(word[b - 1]) + 1, count[a:b]
+        at = np.arange(many.sum()) + np.repeat(model.first[grams[a:b]] - np.cumsum(many) + many, many)
+        gained = np.bincount(np.repeat(word[a:b] - low, many) * n + model.lang[at], model.gain[at], minlength=(high - low) * n)
+        out[low:high] += gained.reshape(-1, n) + np.bincount(word[a:b] - low, minlength=high - low)[:, None] * model.base
+
+
+def word_likelihoods(text: str, model: Model) -> np.ndarray:
+    """One row for each word of a text, a column for each language; on disk if that is more than CELLS numbers. A word that spans two looks of SPAN characters counts as two."""
+    spans = range(0, len(text), SPAN)
+    whole = trigrams(text) if len(spans) == 1 else None
+    look = lambda at: whole or trigrams(text[at : at + SPAN])
+    sizes = [int(word[-1]) + 1 if len(word := look(at)[1]) else 0 for at in spans]
+    shape = sum(sizes), len(model.names)
+    if shape[0] * shape[1] <= CELLS:
+        out = np.zeros(shape)
+    else:
+        with tempfile.TemporaryFile() as f:
+            out = np.memmap(f, np.float64, "w+", shape=shape)
+    row = 0
+    for at, size in zip(spans, sizes, strict=True):
+        if size:
+            _add(out[row : row + size], *look(at), model)
+        row += size
+    return out
 
 
-def identify(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
+def identify(docs: DataFrame, model: Model) -> DataFrame:
     """docs' doc_id and held_out with lang_pred, score and languages (of proportion 0.05 or more, largest first).
 
     score is the proportion of lang_pred; a null text, one without letters, or an empty model gives 'und', 0 and none. Rows are
     judged one by one, so nulls, copies and ties of ids need no rule; equal proportions go to the language first in code points."""
-    names, table_ = model
-    given = docs.sparkSession.sparkContext.broadcast(table_.astype(np.float32))
+    given = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*given.value)
+        names = model.names
         for b in rows(batches):
             pred, score, all_ = [], [], []
             for text in b.column("text").to_pylist():
-                words = word_likelihoods(text, given.value).astype(np.float64) if text and names else np.zeros((0, 1))
+                words = word_likelihoods(text, model) if text and names else np.zeros((0, 1))
                 if not len(words):
                     pred.append("und"), score.append(0.0), all_.append([])
                     continue

@@ -181,6 +181,37 @@ def test_language_odd_tables(spark, odd_docs, no_docs):
     assert {r.lang_pred for r in language.identify(odd_docs.withColumn("held_out", F.lit(True)), nothing).collect()} == {"und"}
 
 
+def test_language_has_no_most_languages(spark):
+    """Of 1010 languages those of the fewest trigrams are learned and predicted too."""
+    from pyspark.sql import functions as F
+
+    words = lambda k: [random.Random(1000 * k + j).choices("abcdefghijklmnopqrstuvwxyz", k=7) for j in range(3 if k < 20 else 5)]
+    docs = [(k, " ".join("".join(w) for w in words(k)), f"l{k:04d}-Latn") for k in range(1010)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    model = language.fit(df)
+    assert len(model.names) == 1010
+    got = {r.doc_id: r.lang_pred for r in language.identify(df.filter("doc_id < 30").withColumn("held_out", F.lit(True)), model).collect()}
+    assert got == {k: lang for k, _, lang in docs[:30]}
+
+
+def test_likelihoods_are_those_of_the_dense_table(spark, monkeypatch):
+    """Also with a text that is looked at by runs, through a file and against slices of the model."""
+    text = {"aa": prose(1, 300), "bb": prose(2, 500), "cc": "xyz zzz yxz " * 50}
+    df = spark.createDataFrame([(t, k) for k, t in text.items()], "text string, lang string")
+    count = np.full((language.BUCKETS, 3), language.PRIOR)
+    for k, t in enumerate(text.values()):
+        count[:, k] += np.bincount(language.trigrams(t)[0], minlength=language.BUCKETS)
+    grams, word = language.trigrams(both := text["aa"] + " " + text["cc"] + " öß")
+    want = np.add.reduceat(np.log(count / count.sum(axis=0))[grams], np.flatnonzero(np.diff(word, prepend=-1)), axis=0)
+    share = language.infer(want)
+    for cells, entries in ((language.CELLS, language.SLICE), (50, 100)):
+        monkeypatch.setattr(language, "CELLS", cells)
+        monkeypatch.setattr(language, "SLICE", entries)
+        got = language.word_likelihoods(both, language.fit(df))
+        assert isinstance(got, np.memmap) == (cells == 50)
+        assert np.allclose(got, want, atol=1e-4) and np.allclose(language.infer(got), share, atol=1e-4)
+
+
 # toxicity ------------------------------------------------------------------------------------------------------------------
 
 
