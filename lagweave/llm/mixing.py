@@ -134,10 +134,10 @@ def mix(docs: DataFrame, seed: int = 17, shards: int | None = None) -> tuple[Dat
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: docs' columns, a row for each draw, dealt by shards and in the shards' local order.
 
-    The one document where a source reaches its target keeps only the words that it gives. docs must be a read that
-    gives its rows in the same order each time, as a table does."""
+    The one document where a source reaches its target keeps only the words that it gives. docs is read once, numbered, and
+    written to the shared folder; draws and texts both come from there, so docs may give its rows in any order."""
     row_id, size, shard, place, words = fresh(docs, "row_id", "size", "shard", "place", "words")
-    rows_ = docs.withColumn(row_id, F.monotonically_increasing_id())
+    rows_ = stored(docs.withColumn(row_id, F.monotonically_increasing_id()), "mix-docs")
     draws, _ = mix(rows_.select(F.col(row_id).alias("row_id"), "doc_id", "source", "text"), **options)
     draws = draws.select(F.col("row_id").alias(row_id), F.col("shard").alias(shard), F.col("place").alias(place), F.col("words").alias(words))
     both = rows_.withColumn(size, word_count(F.col("text"))).join(draws, row_id)

@@ -98,6 +98,23 @@ def test_mix_odd_tables(spark, odd_docs, no_docs):
     assert sum(len((r.text or "").split()) for r in mixed.collect()) == sum(r.taken for r in plan)
 
 
+def test_mixed_numbers_rows_once(spark):
+    """docs whose rows come in another order at each read, as when executors come and go between plans."""
+    from pyspark.sql import functions as F
+
+    rows = [(k, " ".join(f"{w}{k}" for w in prose(k, 5 + k % 40).split()), f"s{k % 3}") for k in range(300)]
+    table_ = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    turn = F.udf(lambda k: random.SystemRandom().random(), "double").asNondeterministic()
+    got = mixing.mixed(table_.withColumn("turn", turn("doc_id")).repartitionByRange(4, "turn").sortWithinPartitions("turn").drop("turn")).collect()
+    text, by = {k: t for k, t, _ in rows}, {}
+    for r in got:
+        assert text[r.doc_id].startswith(r.text.rstrip()) and r.text
+        by[r.source] = by.get(r.source, 0) + len(r.text.split())
+    cut = sum(r.text != text[r.doc_id] for r in got)
+    sizes = [sum(len(t.split()) for _, t, s in rows if s == f"s{k}") for k in range(3)]
+    assert cut <= 3 and [by[f"s{k}"] for k in range(3)] == pytest.approx(mixing.targets(sizes), abs=1)
+
+
 # neighbours ----------------------------------------------------------------------------------------------------------------
 
 
