@@ -18,6 +18,8 @@ from .common import held_out, rows, table
 BUCKETS, PRIOR, LEAST_Z = 1 << 20, 1.0, 4.0
 #: Score of a neutral token: what makes segments end.
 DRIFT, CEILING = -0.35, 4.0
+#: Chance of its score in clean text of the document's length up to which a segment is significant.
+MOST_P = 0.01
 #: Labelled documents that the classifier is fitted to (its documented bound), and those of them that fit its calibration; both are expected sizes of draws by a hash of the id.
 LABELLED, SAMPLE = 200_000, 20_000
 
@@ -66,6 +68,21 @@ def token_scores(text: str, weight: np.ndarray) -> np.ndarray:
     return weight[_WORDS.features(distinct)].max(axis=1)[back] if len(distinct) else np.zeros(0, weight.dtype)
 
 
+def places(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(start, end) in characters of the text of passages given by the numbers of their first token and of that after their last.
+
+    Tokens are those of the lower-cased text; where lower case has more characters than the text, places are carried back."""
+    if not tokens:
+        return []
+    lower = text.lower()
+    found = [m.span() for m in _TOKEN.finditer(lower)]
+    spans = [(found[a][0], found[b - 1][1]) for a, b in tokens]
+    if len(lower) == len(text):
+        return spans
+    at = np.cumsum([0, *(len(c.lower()) for c in text)])  # of each character in the lower-cased text
+    return [(int(np.searchsorted(at, a, side="right")) - 1, int(np.searchsorted(at, b, side="left"))) for a, b in spans]
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = {0: np.zeros(BUCKETS, np.int64), 1: np.zeros(BUCKETS, np.int64)}
     for b in rows(batches):
@@ -117,11 +134,18 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(int(a), int(b), r - left) for a, b, left, r in found]
 
 
-def evidence(text: str | None, weight: np.ndarray) -> tuple[int, float, float]:
-    """(tokens, score of the best segment, sum of the scores of all maximal segments)."""
+def evidence(text: str | None, weight: np.ndarray) -> tuple[int, list[tuple[int, int, float]]]:
+    """(tokens, all maximal segments as (first token, token after the last, score))."""
     scores = token_scores(text or "", weight)
-    found = [s for *_, s in segments(scores)]
-    return len(scores), max(found, default=0.0), float(sum(found))
+    return len(scores), segments(scores)
+
+
+def significant(n: int, found: list[tuple[int, int, float]], law: tuple[float, float]) -> list[tuple[int, int, float, float]]:
+    """(start, end, score, p) of the segments of a text of n tokens whose chance p is MOST_P at most."""
+    if not found:
+        return []
+    p = chance(np.array(n), np.array([s for *_, s in found]), law)
+    return [(a, b, s, float(q)) for (a, b, s), q in zip(found, p, strict=True) if q <= MOST_P]
 
 
 def extreme_value(best: np.ndarray, n: np.ndarray) -> tuple[float, float]:
@@ -136,11 +160,15 @@ def extreme_value(best: np.ndarray, n: np.ndarray) -> tuple[float, float]:
     return lam, float(lam * shift)
 
 
-def surprise(n: np.ndarray, best: np.ndarray, law: tuple[float, float]) -> np.ndarray:
-    """-log10 of the chance that clean text of n tokens has so good a segment, 0 to 30."""
+def chance(n: np.ndarray, score: np.ndarray, law: tuple[float, float]) -> np.ndarray:
+    """The chance that clean text of n tokens has a segment of that score or a better one."""
     lam, log_k = law
-    expected = np.exp(np.clip(log_k + np.log(np.maximum(n, 1)) - lam * best, -80, 50))
-    return np.where(best > 0, np.clip(-np.log10(np.maximum(-np.expm1(-expected), 1e-30)), 0, 30), 0.0)
+    return -np.expm1(-np.exp(np.clip(log_k + np.log(np.maximum(n, 1)) - lam * score, -80, 50)))
+
+
+def surprise(n: np.ndarray, best: np.ndarray, law: tuple[float, float]) -> np.ndarray:
+    """-log10 of the chance of the best segment, 0 to 30."""
+    return np.where(best > 0, np.clip(-np.log10(np.maximum(chance(n, best, law), 1e-30)), 0, 30), 0.0)
 
 
 def features(n, best, total, law) -> np.ndarray:
@@ -168,11 +196,13 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def _evidence_rows(weight, extra: list[str]):
+def _calibration_rows(weight):
+    """toxic, tokens and scores of all maximal segments, as arrays of one row for each document."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows(batches):
             got = [evidence(t, weight.value) for t in b.column("text").to_pylist()]
-            yield pa.record_batch([*(b.column(c) for c in extra), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.float64())], names=[*extra, "n", "best", "total"])
+            yield pa.record_batch([b.column("toxic"), pa.array([n for n, _ in got], pa.int64()), pa.array([[s for *_, s in x] for _, x in got], pa.list_(pa.float64()))], names=["toxic", "n", "scores"])
 
     return run
 
@@ -193,28 +223,38 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, tuple[float, fl
     got = counted.toArrow()  # at most BUCKETS rows
     clean[np.asarray(got["bucket"])], toxic[np.asarray(got["bucket"])] = np.asarray(got["clean"]), np.asarray(got["toxic"])
     weight = log_odds(clean, toxic, size.get(0, 0), size.get(1, 0))
-    evident = _evidence_rows(spark.sparkContext.broadcast(weight), ["toxic"])
-    got = drawn(both, SAMPLE, sum(size.values())).select("toxic", "text").mapInArrow(evident, "toxic int, n long, best double, total double").collect()
-    y, n, best, total = (np.array([r[k] for r in got], np.float64) for k in ("toxic", "n", "best", "total"))
+    evident = _calibration_rows(spark.sparkContext.broadcast(weight))
+    got = drawn(both, SAMPLE, sum(size.values())).select("toxic", "text").mapInArrow(evident, "toxic int, n long, scores array<double>").collect()
+    y, n, best = (np.array(x, np.float64) for x in ([r.toxic for r in got], [r.n for r in got], [max(r.scores, default=0.0) for r in got]))
     law = extreme_value(best[y == 0], n[y == 0])
+    total = np.array([sum(s for *_, s, _ in significant(r.n, [(0, 0, s) for s in r.scores], law)) for r in got], np.float64)
     if not len(y):
         return weight, law, np.array([-5.0, 0, 1, 0, 0, 0])
     return weight, law, logistic(features(n, best, total, law), y)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, tuple[float, float], np.ndarray]) -> DataFrame:
-    """docs' doc_id and held_out with score, predicted, and the evidence (tokens n, score of the best passage, total of all).
+    """docs' doc_id and held_out with score, predicted, the evidence (tokens n, score of the best segment, total of the significant ones), and segments.
 
-    Null and empty texts have no passage and get the score of that. Rows are judged one by one."""
+    segments holds every significant passage, left to right: start and end in characters of the text (text[start:end] is the
+    passage), score, and p, its chance in clean text of that length. Null and empty texts have no passage and get the score of that. Rows are judged one by one."""
     weight, law, w = model
     given = docs.sparkSession.sparkContext.broadcast(weight)
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("p", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _evidence_rows(given, ["doc_id", "held_out"])(batches):
-            p = 1 / (1 + np.exp(-np.clip(features(*(np.asarray(b.column(c)) for c in ("n", "best", "total")), law) @ w, -30, 30)))
-            yield pa.record_batch([b.column("doc_id"), b.column("held_out"), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32)), b.column("n"), b.column("best"), b.column("total")], names=["doc_id", "held_out", "score", "predicted", "n", "best", "total"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, n long, best double, total double")
+        for b in rows(batches):
+            n, best, total, passages = [], [], [], []
+            for text in b.column("text").to_pylist():
+                tokens, found = evidence(text, given.value)
+                sure = significant(tokens, found, law)
+                n.append(tokens), best.append(max((s for *_, s in found), default=0.0)), total.append(float(sum(s for _, _, s, _ in sure)))
+                at = places(text or "", [(a, z) for a, z, *_ in sure])
+                passages.append([{"start": a, "end": z, "score": s, "p": q} for (a, z), (_, _, s, q) in zip(at, sure, strict=True)])
+            p = 1 / (1 + np.exp(-np.clip(features(n, best, total, law) @ w, -30, 30)))
+            yield pa.record_batch([b.column("doc_id"), b.column("held_out"), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32)), pa.array(n, pa.int64()), pa.array(best, pa.float64()), pa.array(total, pa.float64()), pa.array(passages, kind)], names=["doc_id", "held_out", "score", "predicted", "n", "best", "total", "segments"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, n long, best double, total double, segments array<struct<start:int,end:int,score:double,p:double>>")
 
 
 def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:

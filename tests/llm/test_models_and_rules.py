@@ -270,3 +270,20 @@ def test_toxicity_odd_tables(spark, odd_docs, no_docs):
         out = toxicity.score(odd_docs.withColumn("held_out", F.lit(False)), model).collect()
         assert len(out) == odd_docs.count() and all(0 <= r.score <= 1 for r in out)
     assert toxicity.score(no_docs.withColumn("held_out", F.lit(False)), model).count() == 0
+
+
+def test_significant_passages_have_places(spark):
+    """Two planted passages are found where they are, also after letters that grow in lower case; a single chance word is not."""
+    from pyspark.sql import functions as F
+
+    weight = np.full(toxicity.BUCKETS, toxicity.DRIFT, np.float32)
+    for t in ("zorg", "blat"):
+        weight[toxicity.xxhash.xxh64_intdigest(t) % toxicity.BUCKETS] = 3.0
+    clean, law = prose(5, 60), (1.0, -4.0)
+    passages = ["ZORG blat zorg blat", "blat, zorg; blat zorg zorg"]
+    texts = [f"\u0130\u0130 {clean} {passages[0]} {clean}. {passages[1]} {clean}", f"{clean} zorg {clean}", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("held_out", F.lit(False))
+    got = {r.doc_id: r for r in toxicity.score(df, (weight, law, np.zeros(6))).collect()}
+    assert [texts[0][s.start : s.end] for s in got[0].segments] == passages
+    assert all(s.p <= toxicity.MOST_P for s in got[0].segments) and got[0].total == pytest.approx(sum(s.score for s in got[0].segments))
+    assert got[1].best > 0 and not got[1].total and not any(got[k].segments for k in (1, 2, 3))
