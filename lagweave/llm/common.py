@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -18,10 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which driver and executors share; one of our own only where it is unset."""
+    """The folder of spark.checkpoint.dir, which driver and executors share.
+
+    Where it is unset, a folder of the system's temporary ones serves a local master, whose driver and executors are one
+    process; any other master is an error, because its executors would not see each other's files."""
     set_to = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not set_to:
-        set_to = "/tmp/checkpoints/lagweave"
+        if not re.match(r"local(\[[^,\]]*\])?$", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: it has to name a folder that the driver and all executors share")
+        set_to = tempfile.mkdtemp(prefix="spark-checkpoints-")
         spark.conf.set("spark.checkpoint.dir", set_to)
     return set_to.rstrip("/")
 
@@ -34,7 +41,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts the lineage, and survives the loss of executors."""
     spark = df.sparkSession
     df.write.parquet(path := new_path(spark, name))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what stored() wrote for these tables; nothing may read them any more."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -3,12 +3,15 @@
 1. Copies collapse: documents with the same set are one node.
 2. Documents that can have a partner: two sets of similarity 0.8 share `need` or more of the first
    n - ceil(0.8 n) + need shingles in the order of their hashes. Only hashes are exchanged, packed; a set
-   whose leading shingles are too seldom shared takes no further part.
+   whose leading shingles are too seldom shared takes no further part. The sets left are known by a Bloom filter of 40-bit tags;
+   sets that it lets through by chance only cost room. A set travels as its text, compressed, which is a third of
+   its hashes, and is made again where it is needed.
 3. Communities: over what is left, shingles are ordered by the number of sets that hold them, rarest first. Linked sets
    share one of their first n - ceil(0.8 n) + 1; those that only one set holds drop out at once. Sets that share one are joined
-   into communities, which hold all links.
+   into communities, which hold all links. Here 48 bits stand for a shingle: hashes that are cut alike only join communities.
 4. T-occurrence search inside each community, by pairs of blocks of bounded size: a set's short inverted lists are
-   merged, its long ones probed (DivideSkip), and the sets that reach the overlap are linked.
+   merged, its long ones probed (DivideSkip), and the sets that reach the overlap are linked. Merging counts the lists' entries
+   in one array instead of a heap, which gives the same counts.
 """
 
 from __future__ import annotations
@@ -24,13 +27,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import fresh, mix64, rows, stored, table
+from .common import discard, fresh, mix64, rows, stored, table
 from .graph import components
 from .suffixes import _BASE, _INVERSE, _LETTER, _powers
 
 WORDS, PERCENT = 5, 80
-#: Bytes of text looked at a time, most sets of a block of a community, most tags that are broadcast (8 bytes each).
-PIECE, BLOCK, MOST_TAGS = 4 << 20, 2048, 4_000_000
+#: Bytes of text looked at a time, shingles of a block of a community and of a bucket or task on average, most bits of the filter of sets (32 MB).
+PIECE, BLOCK, SHARE, MOST_BITS = 4 << 20, 1 << 20, 1 << 21, 1 << 28
+#: Sets of the sample that finds hot shingles, how many of them hold a hot one, most hot ones (16 bytes each).
+HOT_SAMPLE, HOT_SEEN, MOST_HOT = 1 << 14, 16, 1 << 18
+#: A tag that no set has: stands for two or more sets of one task.
+MARK = np.uint64(1 << 40)
 #: DivideSkip's weight of the length of the longest list.
 MU = 0.01
 
@@ -128,8 +135,39 @@ def _blobs(found: list[tuple[int, bytes]], key: str) -> pa.RecordBatch:
     return pa.record_batch([pa.array([k for k, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], names=[key, "blob"])
 
 
+def _least_of(tags: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct tags, how often each occurs, its least requirement): sets whose tags collide are held to the lower one."""
+    order = np.argsort(tags, kind="stable")
+    tags, least = tags[order], least[order]
+    head = np.flatnonzero(np.concatenate([[True], tags[1:] != tags[:-1]])) if len(tags) else np.zeros(0, np.int64)
+    return tags[head], np.diff(np.append(head, len(tags))), np.minimum.reduceat(least, head) if len(tags) else least
+
+
+def _counted(h: np.ndarray, tag: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order of the distinct pairs of hash and tag, which of them have a hash of more than one tag); MARK stands for two tags."""
+    order = np.lexsort((tag, h))
+    new = np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (tag[order][1:] != tag[order][:-1])])
+    # of equal pairs the least requirement stays
+    starts = np.flatnonzero(new)
+    least[order[starts]] = np.minimum.reduceat(least[order], starts)
+    order = order[starts]
+    head = np.concatenate([[True], h[order][1:] != h[order][:-1]])
+    group = np.cumsum(head) - 1
+    often = (np.bincount(group) > 1) | (np.bincount(group, weights=tag[order] == MARK) > 0)
+    return order, often[group]
+
+
+def _tag_blobs(tag: np.ndarray, least: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
+    tags, count, low = _least_of(tag, least)
+    return [(k, _pack(tags[i], np.minimum(count[i], 65535).astype(np.uint16), low[i])) for k, i in _dealt(tags << np.uint64(24), buckets)]
+
+
 def _leading(buckets: int):
-    """Leading shingles by hash: blobs (48 bits of the hash, tag, least count of shared ones) by buckets of the hash. Hashes that are cut alike only keep a set that could go."""
+    """Leading shingles by hash: blobs (48 bits of the hash, tag, least count of shared ones) by buckets of the hash. Hashes that are cut alike only keep a set that could go.
+
+    What a task's own sets share is counted before it is sent: such a hash goes out once, as MARK, and its
+    tags with their counts (kind 1) to the buckets of tags, so that a hash of very many sets is no large group anywhere.
+    Copies of a set in several tasks may add the same share more than once, which only keeps it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -138,7 +176,15 @@ def _leading(buckets: int):
 
         def give() -> pa.RecordBatch:
             h, tag, least = (np.concatenate(c) for c in zip(*parts, strict=True))
-            return _blobs([(k, _pack(h[i] >> np.uint64(16), tag[i], least[i])) for k, i in _dealt(h, buckets)], "bucket")
+            h = h >> np.uint64(16)
+            order, often = _counted(h, tag, least)
+            h, tag, least = h[order], tag[order], least[order]
+            own = [(k, 1, b) for k, b in _tag_blobs(tag[often], least[often], buckets)]
+            marks = np.unique(h[often])
+            h = np.concatenate([h[~often], marks])
+            tag, least = np.concatenate([tag[~often], np.full(len(marks), MARK, np.uint64)]), np.concatenate([least[~often], np.full(len(marks), 255, np.uint8)])
+            out = own + [(k, 0, _pack(h[i], tag[i], least[i])) for k, i in _dealt(h << np.uint64(16), buckets)]
+            return pa.record_batch([pa.array([o[k] for o in out], kind) for k, kind in enumerate((pa.int32(), pa.int32(), pa.binary()))], names=["bucket", "kind", "blob"])
 
         for _, sets in _looks(batches, []):
             for s in sets:
@@ -163,72 +209,159 @@ def _shared(buckets: int):
     """From the blobs of a bucket of hashes: how many of its shingles each tag shares with another, by buckets of tags."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        h, tag, least = (np.concatenate(c) for c in zip(*(_unpack(b, np.uint64, np.uint64, np.uint8) for b in group["blob"]), strict=True))
-        order = np.lexsort((tag, h))
-        h, tag, least = h[order], tag[order], least[order]
-        new = np.concatenate([[True], (h[1:] != h[:-1]) | (tag[1:] != tag[:-1])])
-        h, tag, least = h[new], tag[new], least[new]
-        head = np.concatenate([[True], h[1:] != h[:-1]])
-        often = np.bincount(np.cumsum(head) - 1)[np.cumsum(head) - 1] > 1
-        tags, first, count = np.unique(tag[often], return_index=True, return_counts=True)
-        least = least[often][first]
-        out = [(k, _pack(tags[i], np.minimum(count[i], 65535).astype(np.uint16), least[i])) for k, i in _dealt(tags << np.uint64(24), buckets)]
+        out = [(int(group["bucket"].iloc[0]), b) for b in group["blob"][group["kind"] == 1]]
+        if blobs := list(group["blob"][group["kind"] == 0]):
+            h, tag, least = (np.concatenate(c) for c in zip(*(_unpack(b, np.uint64, np.uint64, np.uint8) for b in blobs), strict=True))
+            order, often = _counted(h, tag, least)
+            order = order[often & (tag[order] != MARK)]
+            out += _tag_blobs(tag[order], least[order], buckets)
         return pd.DataFrame(out, columns=["bucket", "blob"]).astype({"bucket": "int32"})
 
     return run
 
 
 def _enough(group: pd.DataFrame) -> pd.DataFrame:
+    """The tags of a bucket whose shared leading shingles reach the least requirement that any blob has for them."""
     tag, count, least = (np.concatenate(c) for c in zip(*(_unpack(b, np.uint64, np.uint16, np.uint8) for b in group["blob"]), strict=True))
-    tags, first, back = np.unique(tag, return_index=True, return_inverse=True)
-    return pd.DataFrame({"tag": tags[np.bincount(back, weights=count) >= least[first]].astype(np.int64)})
+    tags, back = np.unique(tag, return_inverse=True)
+    return pd.DataFrame({"tag": tags[np.bincount(back, weights=count) >= _least_of(tag, least)[2]].astype(np.int64)})
+
+
+def _places(tag: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The two bits of a Bloom filter that stand for each tag."""
+    h = mix64(tag.astype(np.uint64))
+    return [(h & np.uint64(bits - 1)).astype(np.int64), ((h >> np.uint64(32)) & np.uint64(bits - 1)).astype(np.int64)]
+
+
+def _marks(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = np.unique(np.concatenate(_places(b.column("tag").to_numpy(), bits)))
+            cuts = np.flatnonzero(np.diff(at >> 16, prepend=-1)).tolist()
+            yield _blobs([(int(at[i]) >> 16, (at[i:j] & 0xFFFF).astype("<u2").tobytes()) for i, j in zip(cuts, [*cuts[1:], len(at)], strict=True)], "bucket")
+
+    return run
+
 
+def _block_of(group: pd.DataFrame) -> pd.DataFrame:
+    set_ = np.zeros(1 << 16, bool)
+    set_[np.frombuffer(b"".join(group["blob"]), "<u2")] = True
+    return pd.DataFrame({"bucket": group["bucket"].iloc[:1], "blob": [np.packbits(set_).tobytes()]})
 
-def _sets(tags):
-    """The sets (sid, tag, n, blob of hashes) of a task's texts, each once; only those of the tags, if they are given."""
+
+def _filter(tags: DataFrame):
+    """A broadcast Bloom filter of the tags, of 2^16 to MOST_BITS bits; fuller ones only let more sets through."""
+    bits = min(MOST_BITS, 1 << max(16, (16 * tags.count()).bit_length()))
+    given = np.zeros(bits >> 3, np.uint8)
+    for r in tags.mapInArrow(_marks(bits), "bucket int, blob binary").groupBy("bucket").applyInPandas(_block_of, "bucket int, blob binary").collect():
+        given[r.bucket << 13 : (r.bucket + 1) << 13] = np.frombuffer(bytes(r.blob), np.uint8)
+    return tags.sparkSession.sparkContext.broadcast(given)
+
+
+def _sets(given):
+    """The sets (sid, n, compressed text, from which the set is made again) of a task's texts that the filter lets through, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        for _, sets in _looks(batches, []):
+        for texts, sets in _looks(batches, ["text"]):
+            sids = [_sid(s) if len(s) else b"\0" * 16 for s in sets]
+            ok = np.ones(len(sets), bool)
+            for at in _places(np.array([_tag(s) for s in sids], np.uint64), 8 * len(given.value)):
+                ok &= ((given.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
             out = []
-            for s in sets:
-                if not len(s) or (sid := _sid(s)) in seen:
+            for (text,), s, sid, fits in zip(texts, sets, sids, ok.tolist(), strict=True):
+                if not fits or not len(s) or sid in seen:
                     continue
-                if tags is not None:
-                    at = int(np.searchsorted(tags.value, tag := _tag(sid)))
-                    if at == len(tags.value) or int(tags.value[at]) != tag:
-                        continue
                 if len(seen) < 1_000_000:
                     seen.add(sid)
-                out.append((sid, _tag(sid), len(s), s.astype("<u8").tobytes()))
-            yield pa.record_batch([pa.array([o[k] for o in out], kind) for k, kind in enumerate((pa.binary(), pa.int64(), pa.int32(), pa.binary()))], names=["sid", "tag", "n", "blob"])
+                out.append((sid, len(s), zstandard.compress(text.encode(), 3)))
+            yield pa.record_batch([pa.array([o[k] for o in out], kind) for k, kind in enumerate((pa.binary(), pa.int64(), pa.binary()))], names=["sid", "n", "packed"])
 
     return run
 
 
-def _postings(buckets: int):
+def _again(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    """(node, set) of rows (node, packed), by a few MB of texts at a time."""
+    nodes, texts, size = [], [], 0
+    for b in batches:
+        for node, packed in zip(b.column("node").to_pylist(), b.column("packed").to_pylist(), strict=True):
+            nodes.append(node)
+            texts.append(zstandard.decompress(packed).decode())
+            size += len(texts[-1])
+            if size > PIECE:
+                yield from zip(nodes, shingle_sets(texts), strict=True)
+                nodes, texts, size = [], [], 0
+    yield from zip(nodes, shingle_sets(texts), strict=True)
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles (48 bits of their hashes) of a task's sets with their number; of a sample."""
+    found, parts, size = [], [], 0
+    for _, s in _again(batches):
+        parts.append(s >> np.uint64(16))
+        size += len(s)
+        if size > 4_000_000:
+            found.append(np.unique(np.concatenate(parts), return_counts=True))
+            parts, size = [], 0
+    found += [np.unique(np.concatenate(parts), return_counts=True)] if parts else []
+    for h, n in found:
+        yield pa.record_batch([pa.array(h.astype(np.int64)), pa.array(n.astype(np.int64))], names=["hash", "n"])
+
+
+def _hot(sets: DataFrame, count: int):
+    """A broadcast list of the shingles that are most frequent in a sample of the sets, with their number there, sorted by hash.
+
+    They come last in the order of shingles, by that number, and are not counted in the corpus, so that no shingle of very many
+    sets meets in one task. The order is the same for all sets, whatever the list holds."""
+    rate = F.lit(min(1.0, HOT_SAMPLE / max(1, count)) * 2**40)
+    sample = sets.filter(F.pmod(F.xxhash64(F.lit(11), "sid"), F.lit(1 << 40)) < rate).select("node", "packed")
+    seen = sample.mapInArrow(_tokens, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= HOT_SEEN)
+    top = seen.orderBy(F.desc("n"), "hash").limit(MOST_HOT).collect()
+    pairs = np.array(sorted((r.hash, r.n) for r in top), np.int64).reshape(-1, 2)
+    return sets.sparkSession.sparkContext.broadcast((pairs[:, 0].astype(np.uint64), pairs[:, 1]))
+
+
+def _found(h: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(which hashes are hot, their number in the sample)."""
+    hashes, number = hot
+    if not len(hashes):
+        return np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+    at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+    return hashes[at] == h, number[at]
+
+
+def _postings(buckets: int, hot):
+    """Blobs (48 bits of a shingle's hash, node, size of its set) by buckets of the hash, or of the node where the shingle is hot."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
 
         def give() -> pa.RecordBatch:
             h, node, n = (np.concatenate(c) for c in zip(*parts, strict=True))
-            return _blobs([(k, _pack(h[i], node[i], n[i])) for k, i in _dealt(h, buckets)], "bucket")
-
-        for b in batches:
-            for node, blob in zip(b.column("node").to_pylist(), b.column("blob").to_pylist(), strict=True):
-                s = np.frombuffer(blob, "<u8")
-                parts.append((s, np.full(len(s), node, np.int64), np.full(len(s), len(s), np.int32)))
-                size += len(s)
-                if size > 2_000_000:
-                    yield give()
-                    parts, size = [], 0
+            h = h >> np.uint64(16)
+            often, _ = _found(h, hot.value)
+            out = []
+            for which, key in ((~often, h << np.uint64(16)), (often, mix64(node))):
+                own = np.flatnonzero(which)
+                for k, i in _dealt(key[own], buckets):
+                    i = own[i]
+                    i = i[np.argsort(h[i], kind="stable")]
+                    out.append((k, _pack(h[i], node[i], n[i])))
+            return _blobs(out, "bucket")
+
+        for node, s in _again(batches):
+            parts.append((s, np.full(len(s), node, np.int64), np.full(len(s), len(s), np.int32)))
+            size += len(s)
+            if size > 2_000_000:
+                yield give()
+                parts, size = [], 0
         if parts:
             yield give()
 
     return run
 
 
-def _frequent(buckets: int):
+def _frequent(buckets: int, hot):
     """Shingles of a bucket that two sets or more hold, with their number, back to the sets."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -237,12 +370,14 @@ def _frequent(buckets: int):
         h, node, n = h[order], node[order], n[order]
         head = np.concatenate([[True], h[1:] != h[:-1]])
         count = np.bincount(np.cumsum(head) - 1)[np.cumsum(head) - 1]
+        known, number = _found(h, hot.value)
+        count = np.where(known, (1 << 30) + np.minimum(number, (1 << 30) - 1), np.minimum(count, (1 << 30) - 1))
         often = count > 1
         h, node, n, count = h[often], node[often], n[often], count[often]
         out = []
         for k, i in _dealt(mix64(node), buckets):
             i = i[np.argsort(node[i], kind="stable")]
-            out.append((k, _pack(node[i], h[i], n[i], np.minimum(count[i], 2**31 - 1).astype(np.int32))))
+            out.append((k, _pack(node[i], h[i], n[i], count[i].astype(np.int32))))
         return pd.DataFrame(out, columns=["bucket", "blob"]).astype({"bucket": "int32"})
 
     return run
@@ -331,44 +466,53 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def give() -> pa.RecordBatch:
         _, i, j = key
-        own, other = [m for m in members if m[0] == i], [m for m in members if m[0] == j]
-        nodes = [m[1] for m in own] + ([m[1] for m in other] if i != j else [])
-        found = links([m[2] for m in own], [m[2] for m in other] if i != j else None) if own and other else []
+        block = np.array([m[0] for m in members])
+        both = list(_again(iter([pa.record_batch([pa.array([m[1] for m in members], pa.int64()), pa.array([m[2] for m in members], pa.binary())], names=["node", "packed"])])))
+        own, other = [both[k] for k in np.flatnonzero(block == i)], [both[k] for k in np.flatnonzero(block == j)]
+        nodes = [m[0] for m in own] + ([m[0] for m in other] if i != j else [])
+        found = links([m[1] for m in own], [m[1] for m in other] if i != j else None) if own and other else []
         return pa.record_batch([pa.array([nodes[x] for x, _ in found], pa.int64()), pa.array([nodes[y] for _, y in found], pa.int64())], names=["a", "b"])
 
     for b in batches:
-        for community, i, j, block, node, blob in zip(*(b.column(c).to_pylist() for c in ("community", "i", "j", "block", "node", "blob")), strict=True):
+        for community, i, j, block, node, packed in zip(*(b.column(c).to_pylist() for c in ("community", "i", "j", "block", "node", "packed")), strict=True):
             if (community, i, j) != key:
                 if members:
                     yield give()
                 key, members = (community, i, j), []
-            members.append((block, node, np.frombuffer(blob, "<u8")))
+            members.append((block, node, packed))
     if members:
         yield give()
 
 
-def link_sets(texts: DataFrame) -> DataFrame:
-    """sid, component (a number of the linked sets' component): for the sets of texts (text) that link with another."""
+def link_sets(texts: DataFrame, shingles: int) -> DataFrame:
+    """sid, component (a number of the linked sets' component): for the sets of texts (text) that link with another.
+
+    shingles: about how many all sets have together; buckets are so many that each holds some SHARE of them."""
     spark = texts.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    leading = texts.select("text").mapInArrow(_leading(buckets), "bucket int, blob binary").groupBy("bucket").applyInPandas(_shared(buckets), "bucket int, blob binary")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(tasks, -(-3 * shingles // (10 * SHARE)))
+    leading = texts.select("text").mapInArrow(_leading(buckets), "bucket int, kind int, blob binary").groupBy("bucket").applyInPandas(_shared(buckets), "bucket int, blob binary")
     tags = stored(leading.groupBy("bucket").applyInPandas(_enough, "tag long"), "jaccard-tags")
-    few = None
-    if tags.count() <= MOST_TAGS:
-        few = spark.sparkContext.broadcast(np.sort(np.array(tags.toArrow()["tag"], np.int64)))
-    found = texts.select("text").mapInArrow(_sets(few), "sid binary, tag long, n int, blob binary").join(tags, "tag", "left_semi")
-    sets = stored(found.groupBy("sid").agg(F.first("n").alias("n"), F.first("blob").alias("blob")).withColumn("node", F.monotonically_increasing_id()), "jaccard-sets")
-    often = sets.mapInArrow(_postings(buckets), "bucket int, blob binary").groupBy("bucket").applyInPandas(_frequent(buckets), "bucket int, blob binary")
+    given = _filter(tags)
+    found = texts.select("text").mapInArrow(_sets(given), "sid binary, n long, packed binary")
+    sets = stored(found.groupBy("sid").agg(F.first("n").alias("n"), F.first("packed").alias("packed")).withColumn("node", F.monotonically_increasing_id()), "jaccard-sets")
+    size = sets.agg(F.count("*").alias("sets"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    buckets, hot = max(tasks, -(-size.n // SHARE)), _hot(sets, size.sets)
+    often = sets.select("node", "packed").mapInArrow(_postings(buckets, hot), "bucket int, blob binary").groupBy("bucket").applyInPandas(_frequent(buckets, hot), "bucket int, blob binary")
     lead = stored(often.groupBy("bucket").applyInPandas(_rarest, "hash long, node long"), "jaccard-lists")
     least = lead.groupBy("hash").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1")
     community = stored(components(lead.join(least, "hash").select(F.col("node").alias("a"), "b")), "jaccard-communities")
-    rank = F.row_number().over(W.partitionBy("component").orderBy("node")) - 1
-    blocks = community.join(community.groupBy("component").agg(F.count("*").alias("size")), "component").withColumn("block", F.floor(rank / BLOCK))
-    others = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / BLOCK)))
-    met = blocks.select("node", F.col("component").alias("community"), "block", others.alias("o")).select("node", "community", "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
-    dealt = met.join(sets.select("node", "blob"), "node").repartition("community", "i", "j").sortWithinPartitions("community", "i", "j", "node")
+    sized = stored(community.join(sets.select("node", "n"), "node"), "jaccard-sized")
+    whole = sized.groupBy("component").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"), F.sum("n").alias("total"))
+    shipped = whole.agg(F.coalesce(F.sum(F.col("total") * F.col("blocks")), F.lit(0)).alias("n")).first().n
+    blocks = sized.join(whole, "component").select("node", F.col("component").alias("community"), "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o")
+    met = blocks.join(sets.select("node", "packed"), "node").select("node", "packed", "community", "block", others).withColumns({"i": F.least("block", "o"), "j": F.greatest("block", "o")})
+    dealt = met.repartition(max(tasks, -(-int(shipped) // SHARE)), "community", "i", "j").sortWithinPartitions("community", "i", "j", "node")
     linked = components(dealt.mapInArrow(_search, "a long, b long"))
-    return linked.join(sets.select("node", "sid"), "node").select("sid", "component")
+    out = stored(linked.join(sets.select("node", "sid"), "node").select("sid", "component"), "jaccard-components")
+    discard(tags, sets, lead, community, sized)
+    return out
 
 
 def component_ids(docs: DataFrame, extra: list[str]) -> DataFrame:
@@ -379,7 +523,7 @@ def component_ids(docs: DataFrame, extra: list[str]) -> DataFrame:
     unless all are null; repeated rows each get a row."""
     ids = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *extra, "text").mapInArrow(_ids(["doc_id", *extra]), ", ".join(f"{c} long" for c in ["doc_id", *extra]) + ", n_shingles long, sid binary"), "jaccard-ids")
     same = ids.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("low"))
-    linked = stored(link_sets(docs), "jaccard-components")
+    linked = link_sets(docs, int(ids.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]))
     lows = linked.join(same, "sid").groupBy("component").agg(F.min("low").alias("component_low"))
     found = linked.join(lows, "component").select("sid", "component_low", F.col("component").cast("string").alias("part"))
     by_set = same.join(found, "sid", "left").select("sid", F.coalesce("component_low", "low").alias("component_id"), F.coalesce("part", F.hex("sid")).alias("part"))

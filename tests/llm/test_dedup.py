@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -133,7 +134,7 @@ def test_components_against_brute_force(spark):
 
 
 def test_blocks_of_a_community_lose_no_link(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "BLOCK", 5)
+    monkeypatch.setattr(jaccard, "BLOCK", 280)
     rows = rows_of_groups()[:60]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.component_ids(docs, []).collect()) == brute_components(rows)
@@ -159,3 +160,31 @@ def test_graph(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (5, 5), (3, 1), (8, 7), (20, 1)], "a long, b long")
     assert {r.node: r.component for r in components(edges).collect()} == {1: 1, 2: 1, 3: 1, 20: 1, 7: 7, 8: 7, 9: 7}
     assert components(edges.limit(0)).count() == 0
+
+
+def test_colliding_tags_keep_the_lower_requirement():
+    """Tag 5 stands for a set that needs 3 and shares 3, and for one that needs 50: both go on, whichever comes first."""
+    for order in ([0, 1], [1, 0]):
+        blobs, others = [], []
+        for k in order:
+            h = np.arange(3, dtype=np.uint64) + np.uint64(10) if k == 0 else np.arange(3, dtype=np.uint64) + np.uint64(90)
+            blobs.append(jaccard._pack(h, np.full(3, 5, np.uint64), np.full(3, 3 if k == 0 else 50, np.uint8)))
+            others.append(jaccard._pack(h, np.full(3, 6, np.uint64), np.full(3, 3, np.uint8)))
+        group = pd.DataFrame({"bucket": 0, "kind": 0, "blob": [blobs[0], others[order.index(0)], blobs[1]]})
+        shared = jaccard._shared(1)(group)
+        assert sorted(jaccard._enough(shared)["tag"]) == [5, 6]
+
+
+def test_what_one_task_shares_counts_as_shared():
+    """A hash that several sets of a task hold leaves it as one mark, and still counts for a set of another task."""
+    mark = jaccard._pack(np.array([7], np.uint64), np.array([jaccard.MARK], np.uint64), np.array([255], np.uint8))
+    one = jaccard._pack(np.array([7, 8], np.uint64), np.array([3, 4], np.uint64), np.array([1, 1], np.uint8))
+    assert jaccard._enough(jaccard._shared(1)(pd.DataFrame({"bucket": 0, "kind": 0, "blob": [mark, one]})))["tag"].tolist() == [3]
+
+
+def test_hot_shingles_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "HOT_SEEN", 3)
+    rows = rows_of_groups()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard.component_ids(docs, []).collect()
+    assert sorted(((r.doc_id if r.doc_id is not None else -1), r.n_shingles, (r.component_id if r.component_id is not None else -1)) for r in got) == brute_components(rows)
