@@ -34,6 +34,20 @@ def brute_repeats(texts, n=400):
     return out
 
 
+def test_lengths_against_brute_force(spark):
+    """Passages of 51 to 80 words, shorter than 400 bytes for the most part, and the length at its edges."""
+    passages = [prose(30 + k, 51 + 3 * k) for k in range(10)]
+    texts = [f"{prose(50 + k, 40)} {passages[k % 10]} {prose(80 + k, 30 + k)}" for k in range(30)] + [passages[0][:199], passages[0][:200], passages[0][1:201], None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    short, long = brute_repeats(texts, 200), brute_repeats(texts, 400)
+    got = {r.doc_id: r for r in suffixes.dedup(docs, 200).collect()}
+    assert [tuple(got[k][c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) for k in range(len(texts))] == short
+    assert all(p[1:-1] not in got[k].text for k in range(30) for p in passages)
+    both = {r.doc_id: r for r in suffixes.dedup(docs, 400, 200).collect()}
+    assert [tuple(both[k][c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) for k in range(len(texts))] == long
+    assert [both[k].n_repeated for k in range(len(texts))] == [s[1] for s in short]
+
+
 def test_repeats_against_brute_force(spark):
     shared, other = prose(1, 120), "é" * 250
     texts = [
@@ -47,18 +61,18 @@ def test_repeats_against_brute_force(spark):
 
 def test_long_texts_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "PIECE", 700)
-    texts = [prose(1, 300), prose(2, 50) + prose(1, 300)[500:1500], prose(3, 10)]
+    texts = [prose(1, 300), prose(2, 50) + prose(1, 300)[500:1500], prose(3, 10), prose(4, 45)]
     batch = spark.createDataFrame([(k, k, t) for k, t in enumerate(texts)], "k1 long, k2 long, text string").toArrow().to_batches()
-    seen = set()
-    for data, keys, starts, sizes in suffixes._looks(iter(batch)):
-        at, first, last, _ = suffixes.anchors(np.frombuffer(data, np.uint8), starts, sizes)
-        own = np.searchsorted(starts, at, side="right") - 1
-        for k, a, b in zip(own, first, last, strict=True):
-            for w in range(a, b + 1):
-                place = keys[k][0], keys[k][2] + w - int(starts[k])
-                assert place not in seen
-                seen.add(place)
-    assert seen == {(k, s) for k, t in enumerate(texts) for s in range(len(t.encode()) - 399)}
+    seen = {0: set(), 1: set()}
+    for data, keys, starts, sizes, starting in suffixes._looks(iter(batch), 400):
+        for which, (at, first, last, _), _ in suffixes._anchored(data, starts, sizes, starting, (400, 200)):
+            own = np.searchsorted(starts, at, side="right") - 1
+            for k, a, b in zip(own, first, last, strict=True):
+                for w in range(a, b + 1):
+                    place = keys[k][0], keys[k][2] + w - int(starts[k])
+                    assert place not in seen[which]
+                    seen[which].add(place)
+    assert all(seen[which] == {(k, s) for k, t in enumerate(texts) for s in range(len(t.encode()) - n + 1)} for which, n in ((0, 400), (1, 200)))
 
 
 @settings(max_examples=60, deadline=None)
