@@ -115,6 +115,52 @@ def test_mixed_numbers_rows_once(spark):
     assert cut <= 3 and [by[f"s{k}"] for k in range(3)] == pytest.approx(mixing.targets(sizes), abs=1)
 
 
+def test_taken_against_a_plain_pass(spark, monkeypatch):
+    """taken by sorting each source by its two hashes and giving words until its target; shards by the tree's quotas."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 90)
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 5)
+    monkeypatch.setattr(mixing, "GROUPED", 7)
+    long = "same start " * 60  # rows that differ after their first 256 characters only
+    rows = [(k, long + prose(k, 3) if k % 9 == 0 else prose(k, 20 + k % 50), None if k % 11 == 0 else f"s{k % 3}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    draws, plan, n_shards = mixing.mix(docs)
+    plan = {r.doc_id: r for r in plan.collect()}
+    content = F.xxhash64(F.col("doc_id").cast("string"), F.coalesce("source", F.lit("")), "text")
+    hashed = {salt: {r.doc_id: r.h for r in docs.select("doc_id", (F.pmod(F.xxhash64(F.lit(17), F.lit(salt), content), F.lit(1 << 40)) / float(1 << 40)).alias("h")).collect()} for salt in (1, 2)}
+    taken, blocks, met = dict.fromkeys(plan, 0), {}, set()
+    for no in {r.source_no for r in plan.values()}:
+        own = [k for k, r in plan.items() if r.source_no == no]
+        size, left = plan[own[0]].source_size, round(plan[own[0]].target)
+        for lap in (0, 1):
+            for k in sorted(own, key=lambda k: hashed[lap + 1][k]):
+                got = min(left, plan[k].size)
+                taken[k] += got
+                left -= got
+                if got:
+                    met.add((no, lap, int(hashed[lap + 1][k] * -(-size // 90))))
+    assert {k: r.taken for k, r in plan.items()} == taken
+    by_row = {r.row_id: r for r in plan.values()}
+    for d in draws.collect():
+        r = by_row[d.row_id]
+        assert (d.shard, d.place) in set(zip(r.shards, r.places, strict=True))
+        blocks.setdefault((r.source_no, d.lap, int(hashed[d.lap + 1][r.doc_id] * -(-r.source_size // 90))), set()).add(d.shard)
+    assert set(blocks) == met and all(len(v) == 1 for v in blocks.values()) and n_shards > 5
+    have = np.array([sum(b[0] == no for b in blocks) for no in range(len({b[0] for b in blocks}))])
+    for shard in range(n_shards):
+        assert [sum(b[0] == no and v == {shard} for b, v in blocks.items()) for no in range(len(have))] == mixing.quotas(have, n_shards, shard, 17)[1].tolist()
+
+
+def test_first_words_keep_every_character(spark):
+    from pyspark.sql import functions as F
+
+    for text in ("a b c", "  a\t\tb \n c ", "\ue000\ue001 x\ue000\ue001y z", "é ü 😀 w", "one"):
+        for n in range(1, len(re.findall(r"[^\x20\x09-\x0D]+", text)) + 1):
+            got = spark.createDataFrame([(text, n)], "text string, n long").select(mixing.first_words(F.col("text"), F.col("n")).alias("t")).first().t
+            assert got == re.match(r"[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]*?){%d}(?=[\x20\x09-\x0D]|$)" % n, text).group()
+
+
 # neighbours ----------------------------------------------------------------------------------------------------------------
 
 
