@@ -24,8 +24,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes that strings of 400 bytes cover which start anywhere else too."""
-    cut = suffixes.dedup(docs).select(*docs.columns)
+    """Texts without the bytes that strings of 200 bytes cover which start anywhere else too: passages of over fifty words have more."""
+    cut = suffixes.dedup(docs, suffixes.SHORT).select(*docs.columns)
     return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 
