@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from .common import fresh, mix64, stored, table
 
 LENGTH, SHORT, K = 400, 200, 48
-#: Bits of the slots of the bitmap (32 MB), and of a block of it.
-SLOT, BLOCK = 28, 16
+#: Bits of the slots of the bitmap (32 MB for each length), and of a block of it; blocks that are summed up together.
+SLOT, BLOCK, BLOCKS = 28, 16, 32
 #: Bytes of text that are looked at a time, bytes of a sorted run, windows that are compared at a time, bytes of text for each range of suffixes.
-PIECE, RUN, WINDOWS, RANGE = 2 << 20, 24 << 20, 1 << 20, 16 << 20
+PIECE, RUN, WINDOWS, RANGE = 1 << 19, 16 << 20, 1 << 19, 8 << 20
 #: Samples of suffixes that a task gives, at least, and for RANGE bytes; groups in which they are gathered, and most of a group.
 SAMPLES, GATHERED, MOST_SAMPLES = 64, 16, 1 << 14
 
@@ -43,10 +43,16 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.ones(1, np.uint64)
+    """The first n powers; a worker keeps those of some MB of text."""
+    out = _POWERS.get(base, np.ones(1, np.uint64))
     while len(out) < n:
         out = np.concatenate([out, out * np.uint64(pow(base, len(out), 2**64))])
+    if len(out) <= 1 << 21:
+        _POWERS[base] = out
     return out[:n]
 
 
@@ -146,6 +152,11 @@ def _anchored(data: bytes, starts: np.ndarray, sizes: np.ndarray, starting: np.n
         yield k, found, cores(total, *found[:3], length)
 
 
+def _slot(h: np.ndarray) -> np.ndarray:
+    """The slot of an anchor by the hash of its K bytes. A passage occurs again only if its anchor and its core do; asked for both, the bitmap is wrong more seldom."""
+    return (mix64(h + np.uint64(K)) >> np.uint64(64 - SLOT)).astype(np.int64)
+
+
 def _note(lengths: tuple[int, ...]):
     """Slots of a task's anchors by blocks of the bitmaps, one for each length (seen once, seen more often); in blocks below 0 its bytes and samples of the suffixes."""
     kinds = (pa.int32(), pa.binary(), pa.binary())
@@ -155,13 +166,13 @@ def _note(lengths: tuple[int, ...]):
         for data, _, starts, sizes, starting in _looks(batches, max(lengths)):
             size += len(data)
             for k, (at, _, _, h), core in _anchored(data, starts, sizes, starting, lengths):
-                slots.append(core[4] + (k << SLOT))
+                slots += [core[4] + (k << SLOT), _slot(h) + (k << SLOT)]
                 if k == 0:
                     few = max(SAMPLES, SAMPLES * size // RANGE)
                     for i in np.argsort(h * np.uint64(0xD6E8FEB86659FD93))[:few].tolist():
                         samples[int(h[i])] = data[at[i] : at[i] + K]
                     samples = dict(sorted(samples.items())[:few])
-        out = [(-1, size.to_bytes(8, "little"), b"")] + [(-2 - h % GATHERED, h.to_bytes(8, "big") + s, b"") for h, s in samples.items()]
+        out = [(-1, size.to_bytes(8, "little"), b"")] + [(-BLOCKS * (2 + h % GATHERED), h.to_bytes(8, "big") + s, b"") for h, s in samples.items()]
         if slots:
             slot, count = np.unique(np.concatenate(slots), return_counts=True)
             block = slot >> BLOCK
@@ -174,15 +185,18 @@ def _note(lengths: tuple[int, ...]):
 
 
 def _combine(group: pd.DataFrame) -> pd.DataFrame:
-    block = int(group["block"].iloc[0])
-    if block == -1:
+    """The bitmaps' blocks (bits that are set more than once), the bytes of all tasks, or samples, of a group of blocks."""
+    if int(group["block"].iloc[0]) == -1:
         return pd.DataFrame({"block": [-1], "bits": [sum(int.from_bytes(x, "little") for x in group["once"]).to_bytes(8, "little")]})
-    if block < 0:  # an even choice of the suffixes, whose order is by a hash until here
-        return pd.DataFrame({"block": block, "bits": [x[8:] for x in sorted(group["once"])[:MOST_SAMPLES]]})
-    once, more = (np.frombuffer(b"".join(group[c]), "<u2") for c in ("once", "more"))
-    count = np.bincount(once, minlength=1 << BLOCK)
-    count[more] = 2
-    return pd.DataFrame({"block": [block], "bits": [zstandard.compress(np.packbits(count > 1).tobytes(), 1)]})
+    if int(group["block"].iloc[0]) < 0:  # an even choice of the suffixes, whose order is by a hash until here
+        return pd.DataFrame({"block": int(group["block"].iloc[0]), "bits": [x[8:] for x in sorted(group["once"])[:MOST_SAMPLES]]})
+    out = []
+    for block, own in group.groupby("block"):
+        once, more = (np.frombuffer(b"".join(own[c]), "<u2") for c in ("once", "more"))
+        count = np.bincount(once, minlength=1 << BLOCK)
+        count[more] = 2
+        out.append((block, zstandard.compress(np.packbits(count > 1).tobytes(), 1)))
+    return pd.DataFrame(out, columns=["block", "bits"])
 
 
 def common_prefix(a: bytes, b: bytes, at: int = 0) -> int:
@@ -307,9 +321,10 @@ def _runs(bitmap, splitters, lengths: tuple[int, ...]):
             return pa.record_batch([pa.array([g[0] for g in got], pa.int32()), pa.array([number] * len(got), pa.int64()), pa.array([g[1] for g in got], pa.binary())], names=["part", "run", "blob"])
 
         for data, keys, starts, sizes, starting in _looks(batches, max(lengths)):
-            for which, (at, _, _, _), (own, kind, first, last, slot) in _anchored(data, starts, sizes, starting, lengths):
+            for which, (at, _, _, h), (own, kind, first, last, slot) in _anchored(data, starts, sizes, starting, lengths):
                 bits = bitmap.value[which << (SLOT - 3) : (which + 1) << (SLOT - 3)]
-                hit = np.flatnonzero((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1)
+                has = lambda x: ((bits[x >> 3] >> (7 - (x & 7)).astype(np.uint8)) & 1).astype(bool)  # noqa: B023, E731
+                hit = np.flatnonzero(has(slot) & has(_slot(h))[own])
                 own, kind, first, last = own[hit], kind[hit], first[hit], last[hit]
                 new = np.ones(len(own), bool)  # classes that follow each other make one entry
                 new[1:] = (own[1:] != own[:-1]) | (kind[1:] != kind[:-1] + 1)
@@ -370,10 +385,13 @@ def _merge(lengths: tuple[int, ...], ranges: int):
         def settle(pending: list[tuple[int, int]], groups: list[int]) -> None:
             left, right = [runs[r][2][i] for r, i in pending], [runs[r][0][i] for r, i in pending]
             twice = np.array([runs[r][5][i] for r, i in pending])
-            for entry, first, last in zip(*(x.tolist() for x in _repeated(left, right, np.array(groups), twice, length)), strict=True):
-                r, i = pending[entry]
-                members = runs[r][4][member_at[r][i] : member_at[r][i + 1]]
-                found.append(np.stack([members[:, 0], members[:, 1], np.full(len(members), length), members[:, 2] + first, members[:, 2] + last + length], axis=1))
+            entry, first, last = _repeated(left, right, np.array(groups), twice, length)
+            members = np.concatenate([runs[r][4][member_at[r][i] : member_at[r][i + 1]] for r, i in pending])
+            count = np.array([runs[r][3][i] for r, i in pending], np.int64)
+            n = count[entry]
+            row = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - (np.cumsum(count) - count)[entry], n)
+            at = members[row, 2]
+            found.append(np.stack([members[row, 0], members[row, 1], np.full(len(row), length), at + np.repeat(first, n), at + np.repeat(last, n) + length], axis=1))
 
         pending, groups, windows, same, number, n_same = [], [], 0, [], 0, 0
         for r, i, shared in LoserTree([x[0] for x in runs], [x[1] for x in runs]):
@@ -442,7 +460,7 @@ def repeats(docs: DataFrame, *lengths: int) -> DataFrame:
     if min(lengths) < 2 * K:
         raise ValueError(f"passages have {2 * K} bytes at least")
     texts = docs.select("text").withColumns(_keys(F.col("text")))
-    noted = texts.mapInArrow(_note(lengths), "block int, once binary, more binary").groupBy("block").applyInPandas(_combine, "block int, bits binary").collect()
+    noted = texts.mapInArrow(_note(lengths), "block int, once binary, more binary").groupBy(F.floor(F.col("block") / BLOCKS)).applyInPandas(_combine, "block int, bits binary").collect()
     bitmap, total, samples = np.zeros(len(lengths) << (SLOT - 3), np.uint8), 0, []
     for r in noted:
         if r.block >= 0:
