@@ -33,7 +33,9 @@ from .suffixes import _BASE, _INVERSE, _LETTER, _powers
 
 WORDS, PERCENT = 5, 80
 #: Bytes of text looked at a time, shingles of a block of a community and of a bucket or task on average, most bits of the filter of sets (32 MB).
-PIECE, BLOCK, SHARE, MOST_BITS = 4 << 20, 1 << 20, 1 << 21, 1 << 28
+PIECE, BLOCK, SHARE, MOST_BITS = 1 << 20, 1 << 20, 1 << 20, 1 << 28
+#: Shingles that a task packs at a time.
+PACKED = 1 << 20
 #: Sets of the sample that finds hot shingles, how many of them hold a hot one, most hot ones (16 bytes each).
 HOT_SAMPLE, HOT_SEEN, MOST_HOT = 1 << 14, 16, 1 << 18
 #: A tag that no set has: stands for two or more sets of one task.
@@ -196,7 +198,7 @@ def _leading(buckets: int):
                 lead = s[: n - least_overlap(n) + need(n)]
                 parts.append((lead, np.full(len(lead), _tag(sid), np.uint64), np.full(len(lead), min(255, need(least_overlap(n))), np.uint8)))
                 size += len(lead)
-            if size > 2_000_000:
+            if size > PACKED:
                 yield give()
                 parts, size = [], 0
         if parts:
@@ -300,7 +302,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, s in _again(batches):
         parts.append(s >> np.uint64(16))
         size += len(s)
-        if size > 4_000_000:
+        if size > 2 * PACKED:
             found.append(np.unique(np.concatenate(parts), return_counts=True))
             parts, size = [], 0
     found += [np.unique(np.concatenate(parts), return_counts=True)] if parts else []
@@ -352,7 +354,7 @@ def _postings(buckets: int, hot):
         for node, s in _again(batches):
             parts.append((s, np.full(len(s), node, np.int64), np.full(len(s), len(s), np.int32)))
             size += len(s)
-            if size > 2_000_000:
+            if size > PACKED:
                 yield give()
                 parts, size = [], 0
         if parts:
