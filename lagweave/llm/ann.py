@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from .common import stored, table
 
 #: Codebooks, codewords of each, width of the beam, vectors that fit the codebooks (a documented bound), Lloyd rounds of each.
-BOOKS, WORDS, BEAM, SAMPLE, ROUNDS = 8, 256, 8, 32_768, 8
-#: Vectors of an index block, queries of a query block, and candidates of a query in a block that are scored exactly.
-BLOCK, QUERIES, RERANK = 8192, 1024, 256
+BOOKS, WORDS, BEAM, SAMPLE, ROUNDS = 16, 256, 4, 16_384, 8
+#: Vectors of an index block, index blocks that a task looks through for a block of queries, at most, and queries of a block.
+BLOCK, TOGETHER, QUERIES = 4096, 16, 4096
+#: Candidates of a query, of all blocks, that are scored exactly; queries that are scored exactly at a time.
+RERANK, EXACT = 256, 256
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -47,24 +49,17 @@ def fit(sample: np.ndarray, books: int = BOOKS, words: int = WORDS, seed: int =
 def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
     """(codes, squared norms of the decoded vectors): beam search over the books for the sum of codewords next to each row of x."""
     n, (m, k, dim) = len(x), books.shape
-    flat = books.reshape(m * k, dim)
-    dots, cross = x @ flat.T, flat @ flat.T
-    # |x - sum c|^2 = |x|^2 - 2 x.c + |sum c|^2, grown book by book from tables of inner products
-    codes, cost = np.zeros((n, 1, 0), np.int64), np.zeros((n, 1))
-    for j in range(m):
-        own = np.diag(cross)[j * k : (j + 1) * k]
-        grown = cost[:, :, None] + own - 2 * dots[:, None, j * k : (j + 1) * k]
-        for i in range(j):
-            grown += 2 * cross[codes[:, :, i] + i * k, j * k : (j + 1) * k]
-        grown = grown.reshape(n, -1)
+    # |x - p - c|^2 = |x - p|^2 + |c|^2 + 2 (p - x).c for a partial sum p and the next book's codeword c
+    cost, partial, codes = np.zeros((n, 1)), np.zeros((n, 1, dim)), np.zeros((n, 1, 0), np.int64)
+    for book in books:
+        grown = (cost[:, :, None] + (book * book).sum(1) + 2 * ((partial - x[:, None]) @ book.T)).reshape(n, -1)
         width = min(beam, grown.shape[1])
         best = np.argpartition(grown, width - 1, axis=1)[:, :width]
-        cost = np.take_along_axis(grown, best, 1)
-        codes = np.concatenate([np.take_along_axis(codes, (best // k)[:, :, None], 1), (best % k)[:, :, None]], axis=2)
-    best = np.argmin(cost, axis=1)
-    codes = codes[np.arange(n), best]
-    decoded = books[np.arange(m), codes].sum(axis=1)
-    return codes.astype(np.uint8 if k <= 256 else np.int32), (decoded * decoded).sum(axis=1)
+        cost, source, word = np.take_along_axis(grown, best, 1), best // k, best % k
+        codes = np.concatenate([np.take_along_axis(codes, source[:, :, None], 1), word[:, :, None]], axis=2)
+        partial = np.take_along_axis(partial, source[:, :, None], 1) + book[word]
+    best, row = np.argmin(cost, axis=1), np.arange(n)
+    return codes[row, best].astype(np.uint8 if k <= 256 else np.int32), (partial[row, best] ** 2).sum(axis=1)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -92,14 +87,23 @@ def _blocks(vectors: DataFrame, size: int, n: int) -> DataFrame:
     return dealt.groupBy("block").applyInPandas(gather, "block long, ids binary, vectors binary")
 
 
+def _best(near: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
+    """Places of the n largest scores, even ones by smaller ids."""
+    if len(near) <= n:
+        return np.arange(len(near))
+    least = np.partition(near, len(near) - n)[len(near) - n]
+    sure, even = np.flatnonzero(near > least), np.flatnonzero(near == least)
+    return np.concatenate([sure, even[np.argsort(ids[even], kind="stable")][: n - len(sure)]])
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, rerank: int = RERANK) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each query by cosine, ties to the smaller id, without itself.
 
-    vectors and queries are usable() tables. The codebooks are fitted to at most SAMPLE unit vectors (those with the
-    least hashes of their ids); every vector is encoded, and the index (codes, norms, unit vectors by blocks)
-    is written to the shared folder. Each block of queries meets each block of the index once: tables of inner
-    products with all codewords score the codes, the `rerank` best of a query in a block are scored
-    exactly in double precision, and its k best of the block go on. Fewer candidates than k give fewer rows; no
+    vectors and queries are usable() tables. The codebooks are fitted to at most SAMPLE unit vectors, those with the
+    least hashes of their ids. Every vector is encoded; the index, codes and norms by blocks, is written to the shared folder.
+    Each block of queries meets each block of the index once, codes only: tables of inner products with all codewords score
+    them, and a task keeps a query's `rerank` best of the blocks that it looks through. The `rerank` best of all are fetched by their ids,
+    each vector once for EXACT queries, and scored exactly in double precision. Fewer candidates than k give fewer rows; no
     vectors give none. Equal vectors get equal scores.
     """
     spark = vectors.sparkSession
@@ -108,8 +112,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, rerank: int = RER
     schema = "query_id long, rank int, vec_id long, score double"
     if not n or not n_queries:
         return spark.createDataFrame([], schema)
-    drawn = vectors.filter(F.pmod(F.xxhash64("vec_id", F.lit(9)), F.lit(1 << 20)) < int(min(1.0, 1.2 * SAMPLE / n) * (1 << 20)) + 1).select("v").limit(SAMPLE)
-    sample = np.array([r.v for r in drawn.collect()] or [r.v for r in vectors.limit(WORDS).collect()], np.float64)
+    key = F.pmod(F.xxhash64("vec_id", F.lit(9)), F.lit(1 << 40))
+    few = vectors.filter(key < int(min(1.0, 2 * SAMPLE / n) * (1 << 40)) + 1) if n > 4 * SAMPLE else vectors
+    sample = np.array([r.v for r in few.orderBy(key, "vec_id").limit(SAMPLE).select("v").collect()], np.float64)
     books = fit(unit(sample))
 
     def add_codes(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,43 +126,77 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, rerank: int = RER
                 parts = [encode(x[at : at + 512], books) for at in range(0, len(x), 512)]
                 codes.append(np.concatenate([p[0] for p in parts]).astype("<u1" if books.shape[1] <= 256 else "<i4").tobytes())
                 norms.append(np.concatenate([p[1] for p in parts]).astype("<f8").tobytes())
-            yield pa.record_batch([*b.columns, pa.array(codes, pa.binary()), pa.array(norms, pa.binary())], names=[*b.schema.names, "codes", "norms"])
+            yield pa.record_batch([b.column("block"), b.column("ids"), pa.array(codes, pa.binary()), pa.array(norms, pa.binary())], names=["block", "ids", "codes", "norms"])
 
-    index = stored(_blocks(vectors, BLOCK, n).mapInArrow(add_codes, "block long, ids binary, vectors binary, codes binary, norms binary"), "ann-index")
+    index = stored(_blocks(vectors, BLOCK, n).mapInArrow(add_codes, "block long, ids binary, codes binary, norms binary"), "ann-index")
     asked = _blocks(queries, QUERIES, n_queries).select(F.col("block").alias("asked"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    n_asked = max(1, -(-n_queries // QUERIES))
-    met = index.withColumn("asked", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_asked - 1).cast("long")))).join(asked, "asked")
+    n_asked, n_slices = max(1, -(-n_queries // QUERIES)), max(1, -(-n // (BLOCK * TOGETHER)))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_asked - 1).cast("long")))
+    dealt = index.withColumns({"asked": every, "slice": F.pmod("block", F.lit(n_slices))})
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_asked * n_slices)
+    met = dealt.join(asked, "asked").repartition(tasks, "asked", "slice").sortWithinPartitions("asked", "slice", "block")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, words, dim = books.shape
+        own, kept = None, {}
+
+        def give() -> pa.RecordBatch:
+            found = list(kept.items())
+            sizes = [len(v[0]) for _, v in found]
+            columns = [np.repeat([q for q, _ in found], sizes), np.concatenate([v[1] for _, v in found]), np.concatenate([v[0] for _, v in found])]
+            return pa.record_batch([pa.array(c.astype(t)) for c, t in zip(columns, (np.int64, np.int64, np.float64), strict=True)], names=["query_id", "vec_id", "near"])
+
         for b in batches:
             for row in b.to_pylist():
-                ids, x = np.frombuffer(row["ids"], "<i8"), unit(np.frombuffer(row["vectors"], "<f8").reshape(-1, dim))
+                if own != (row["asked"], row["slice"]):
+                    if kept:
+                        yield give()
+                    own, kept = (row["asked"], row["slice"]), {}
+                ids = np.frombuffer(row["ids"], "<i8")
                 codes = np.frombuffer(row["codes"], "<u1" if words <= 256 else "<i4").reshape(-1, m).astype(np.int64)
                 length = np.sqrt(np.maximum(np.frombuffer(row["norms"], "<f8"), 1e-12))
                 q_ids, q = np.frombuffer(row["q_ids"], "<i8"), unit(np.frombuffer(row["q_vectors"], "<f8").reshape(-1, dim))
-                out: list[tuple] = []
                 for query_id, one in zip(q_ids.tolist(), q, strict=True):
                     lookup = books @ one
                     near = lookup[0][codes[:, 0]]
                     for j in range(1, m):
                         near += lookup[j][codes[:, j]]
                     near /= length
-                    if len(near) > rerank:
-                        least = np.partition(near, len(near) - rerank)[len(near) - rerank]
-                        sure, even = np.flatnonzero(near > least), np.flatnonzero(near == least)
-                        at = np.concatenate([sure, even[: rerank + 1 - len(sure)]])  # even ones by smaller ids
-                    else:
-                        at = np.arange(len(near))
-                    at = at[ids[at] != query_id]
-                    exact = (x[at] * one).sum(axis=1)
-                    best = np.lexsort((ids[at], -exact))[:k]
-                    out += zip([query_id] * len(best), ids[at][best].tolist(), exact[best].tolist(), strict=True)
-                yield pa.record_batch([pa.array([o[c] for o in out], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))], names=["query_id", "vec_id", "score"])
-
-    found = met.mapInArrow(score, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+                    near[ids == query_id] = -np.inf
+                    at = _best(near, ids, rerank)
+                    before = kept.get(query_id)
+                    both = (near[at], ids[at]) if before is None else (np.concatenate([before[0], near[at]]), np.concatenate([before[1], ids[at]]))
+                    at = _best(*both, rerank)
+                    kept[query_id] = both[0][at], both[1][at]
+        if kept:
+            yield give()
+
+    found = met.mapInArrow(score, "query_id long, vec_id long, near double").filter("vec_id <> query_id")
+    place = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("near"), "vec_id"))
+    chosen = found.withColumn("place", place).filter(F.col("place") <= rerank)
+    some = F.pmod(F.xxhash64("query_id"), F.lit(max(1, -(-n_queries // EXACT))))
+    wanted = chosen.withColumn("some", some).groupBy("some", "vec_id").agg(F.collect_list("query_id").alias("asking")).join(vectors, "vec_id")
+    given = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).withColumn("some", some)
+
+    def exact(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        """The k nearest of each query of a group among the vectors fetched for it."""
+        if not len(left) or not len(right):
+            return pd.DataFrame({"query_id": [], "rank": [], "vec_id": [], "score": []})
+        q_ids = right["query_id"].to_numpy(np.int64)
+        order = np.argsort(q_ids)
+        q = unit(np.stack(right["q"].to_numpy()).astype(np.float64))[order]
+        ids, x = left["vec_id"].to_numpy(np.int64), unit(np.stack(left["v"].to_numpy()).astype(np.float64))
+        row = np.repeat(np.arange(len(ids)), left["asking"].map(len).to_numpy())
+        of = np.searchsorted(q_ids[order], np.concatenate(left["asking"].to_numpy()))
+        scores = np.concatenate([(x[row[at : at + 65536]] * q[of[at : at + 65536]]).sum(axis=1) for at in range(0, len(row), 65536)])
+        best = np.lexsort((ids[row], -scores, of))
+        of, row, scores = of[best], row[best], scores[best]
+        start = np.concatenate([[True], of[1:] != of[:-1]])
+        rank = np.arange(len(of)) - np.flatnonzero(start)[np.cumsum(start) - 1] + 1
+        keep = rank <= k
+        return pd.DataFrame({"query_id": q_ids[order][of[keep]], "rank": rank[keep], "vec_id": ids[row[keep]], "score": scores[keep]})
+
+    return wanted.groupBy("some").cogroup(given.groupBy("some")).applyInPandas(exact, schema)
 
 
 def op1_additive_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:

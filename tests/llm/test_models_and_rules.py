@@ -190,6 +190,35 @@ def test_neighbours_against_brute_force(spark):
     assert ann.search(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_recall_where_few_are_scored_exactly(spark, monkeypatch):
+    """Candidates are 4 % of the vectors, over several index and query blocks; cluster-free vectors, the hard case."""
+    monkeypatch.setattr(ann, "BLOCK", 500)
+    monkeypatch.setattr(ann, "TOGETHER", 2)
+    monkeypatch.setattr(ann, "QUERIES", 30)
+    monkeypatch.setattr(ann, "EXACT", 17)
+    from pyspark.sql import functions as F
+
+    x = ann.unit(np.random.default_rng(4).normal(size=(3000, 24)))
+    vectors = spark.createDataFrame([(k, [float(v) for v in r]) for k, r in enumerate(x)], "vec_id long, v array<double>")
+    runs = [ann.search(vectors.repartition(p), vectors.filter(F.col("vec_id") % 50 == 0), rerank=120).collect() for p in (2, 3)]
+    assert sorted(map(tuple, runs[0])) == sorted(map(tuple, runs[1]))  # the sample does not depend on the partitions
+    got = {}
+    for r in runs[0]:
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = sum(len(found & set([j for j in np.argsort(-(x @ x[q]), kind="stable") if j != q][:5])) for q, found in got.items())
+    assert len(got) == 60 and hit >= 0.9 * 300
+
+
+def test_vectors_of_other_types_and_names(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(k, [k + 1, 3, 1]) for k in range(60)]
+    table_ = spark.createDataFrame(rows, "vec_id int, embedding array<int>").withColumns({c: F.lit("x") for c in ("v", "dim", "block", "rank", "score", "query_id", "asked", "label")})
+    vectors = ann.usable(table_)
+    got = ann.search(vectors, vectors.filter("vec_id % 50 = 0")).collect()
+    assert {r.query_id for r in got} == {0, 50} and len(got) == 10 and all(-1 <= r.score <= 1 + 1e-12 for r in got)
+
+
 def test_few_candidates(spark):
     vectors = ann.usable(spark.createDataFrame([(50, [1.0, 0.0]), (51, [0.0, 1.0])], "vec_id long, embedding array<float>"))
     assert [(r.query_id, r["rank"], r.vec_id) for r in ann.search(vectors, vectors.filter("vec_id % 50 = 0")).collect()] == [(50, 1, 51)]
