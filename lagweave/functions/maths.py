@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import pi
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,15 +16,24 @@ def _series(df: int) -> list[float]:
     return out
 
 
-def t_two_sided(t: Column, df: int) -> Column:
-    """Two-sided p of Student's t with an even number of degrees of freedom, by the closed series in cos^2."""
-    if df < 2 or df % 2:
-        raise ValueError("df must be even and positive")
-    c2 = df / (df + t * t)
-    total = F.lit(0.0)
-    for c in reversed(_series(df)):
-        total = F.lit(c) + c2 * total
-    return F.greatest(F.lit(0.0), 1 - F.sqrt(1 - c2) * total)
+def t_two_sided(t: Column, df: int | Column) -> Column:
+    """Two-sided p of Student's t with a whole number of degrees of freedom (a column or a number), by the closed series in cos^2; 1 below one degree."""
+    n = F.lit(df) if isinstance(df, int) else df
+    odd = (n % 2).cast("double")
+    c2 = n / (n + t * t)
+    steps = F.when(odd == 1, (n - 3) / 2).otherwise(n / 2 - 1).cast("int")
+    ks = F.when(steps >= 1, F.sequence(F.lit(1), F.greatest(F.lit(1), steps))).otherwise(F.array().cast("array<int>"))
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+
+    def add(s: Column, k: Column) -> Column:
+        term = s["term"] * c2 * (2 * k - 1 + odd) / (2 * k + odd)
+        return F.struct(term.alias("term"), (s["total"] + term).alias("total"))
+
+    total = F.aggregate(ks, start, add, lambda s: s["total"])
+    sine = F.sqrt(F.greatest(F.lit(0.0), 1 - c2))
+    angle = F.atan(F.abs(t) / F.sqrt(n))
+    inside = F.when(odd == 0, sine * total).when(n == 1, 2 / pi * angle).otherwise(2 / pi * (angle + sine * F.sqrt(c2) * total))
+    return F.when(n < 1, 1.0).otherwise(F.greatest(F.lit(0.0), 1 - inside))
 
 
 def t_two_sided_sql(t: str, df: int) -> str:
@@ -32,8 +43,8 @@ def t_two_sided_sql(t: str, df: int) -> str:
     return f"greatest(0.0, 1 - sqrt(1 - {c2}) * {total})"
 
 
-def correlation_p(r: Column, df: int) -> Column:
-    """Two-sided p of a correlation, clipped at 0.9999; 1 where it is null."""
+def correlation_p(r: Column, df: int | Column) -> Column:
+    """Two-sided p of a correlation, clipped at 0.9999, with df degrees of freedom; 1 where it is null or df is below 1."""
     clipped = F.greatest(F.lit(-0.9999), F.least(F.lit(0.9999), r))
     return F.coalesce(t_two_sided(clipped * F.sqrt(df / (1 - clipped * clipped)), df), F.lit(1.0))
 

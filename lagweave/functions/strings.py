@@ -62,3 +62,26 @@ def consensus(probabilities: Column) -> Column:
     """Letter of a column (A, C, G, T) whose probability is 0.5 or more, else N."""
     best = F.array_max(probabilities)
     return F.when(best >= 0.5, F.element_at(F.array(*map(F.lit, "ACGT")), F.array_position(probabilities, best).cast("int"))).otherwise("N")
+
+
+def family_of(name: Column, families: list[str], alias: dict[str, str] | None = None) -> Column:
+    """The family that a name stands for, letter case aside: its alias, else the same name, else the longest of the families and names that contain each other, the first of equal ones; null without one.
+
+    families is a short list of a study's families."""
+    low = F.lower(name)
+    score = [
+        F.struct(F.when(low == f.lower(), 1000).when(low.contains(f.lower()), len(f)).when(F.lit(f.lower()).contains(low) & (low != ""), F.length(name)).otherwise(0).alias("s"), F.lit(-k).alias("k"), F.lit(f).alias("f"))
+        for k, f in enumerate(families)
+    ]
+    best = F.array_max(F.array(*score)) if score else F.lit(None)
+    found = F.when(best["s"] > 0, best["f"]) if score else F.lit(None).cast("string")
+    for k, v in (alias or {}).items():
+        found = F.when(name == k, F.lit(v)).otherwise(found)
+    return found
+
+
+def kmer_ppm(kmer: Column) -> Column:
+    """Columns of four shares (A, C, G, T) of a k-mer: 1 for its letter, a quarter each where it is none of the four."""
+    letters = F.filter(F.split(F.upper(kmer), ""), lambda x: x != "")
+    one = lambda x: F.array(*[F.when(x == c, 1.0).when(x.isin("A", "C", "G", "T"), 0.0).otherwise(0.25) for c in "ACGT"])
+    return F.transform(letters, one)

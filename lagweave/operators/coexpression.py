@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import erfc, sqrt
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.maths import correlation_p, fisher_z
+from ..storage import stored
 from .relational import average_rank, false_discovery, lagged_pairs
 
 CLASSES = ("Conserved", "Lost", "Gained", "Rewired", "WT_only", "MUT_only", "NS")
@@ -34,16 +36,31 @@ def ranked_pairs(values: DataFrame, lag: int = 1) -> DataFrame:
     return pairs.select("gene", "cond", "rep", "time", average_rank("x", ["gene", "cond"]).alias("rx"), average_rank("y", ["gene", "cond"]).alias("ry"))
 
 
+#: Regulators whose rank arrays are broadcast at a time; at 18 pairs of times and replicates some 3 MB.
+REGULATORS = 4096
+
+
 def lag_correlations(values: DataFrame, tfs: DataFrame, lag: int = 1) -> DataFrame:
-    """tf, target, cond, r, n: Spearman correlation of a regulator with each target `lag` times later.
+    """tf, target, cond, r, n: Spearman correlation of a regulator with each target `lag` times later, over the replicates and times that both have.
 
-    Null where either side is constant. Regulators are a short list, so the join is on (cond, rep, time) against all targets'
-    rows and the sums are combined before they are shuffled."""
+    Null where either side is constant. A gene's ranks in a condition are one array; the regulators' arrays are broadcast by blocks of
+    bounded size, so that pairs are made and summed up without a shuffle."""
     ranks = ranked_pairs(values, lag)
-    x = ranks.join(tfs.select(F.col("tf").alias("gene")), "gene").select(F.col("gene").alias("tf"), "cond", "rep", "time", "rx")
-    y = ranks.select(F.col("gene").alias("target"), "cond", "rep", "time", "ry")
-    s = x.join(y, ["cond", "rep", "time"]).groupBy("tf", "target", "cond").agg(
-        F.count("*").alias("n"), F.sum("rx").alias("sx"), F.sum("ry").alias("sy"), F.sum(F.col("rx") * F.col("ry")).alias("sxy"), F.sum(F.col("rx") ** 2).alias("sxx"), F.sum(F.col("ry") ** 2).alias("syy")
+    own = F.sort_array(F.collect_list(F.struct("rep", "time", "rx", "ry")))
+    arrays = ranks.groupBy("gene", "cond").agg(own.alias("s"))
+    arrays = stored(arrays.select("gene", "cond", F.transform("s", lambda e: F.struct(e["rep"].alias("rep"), e["time"].alias("time"))).alias("at"), F.transform("s", lambda e: e["rx"]).alias("rx"), F.transform("s", lambda e: e["ry"]).alias("ry")), "rank-arrays")
+    x = arrays.join(tfs.select(F.col("tf").alias("gene")).distinct(), "gene").select(F.col("gene").alias("tf"), "cond", F.col("at").alias("at_x"), "rx")
+    y = arrays.select(F.col("gene").alias("target"), "cond", F.col("at").alias("at_y"), "ry")
+    blocks = -(-max(1, tfs.select("tf").distinct().count()) // REGULATORS)
+    parts = [y.join(F.broadcast(x.filter(F.pmod(F.hash("tf"), F.lit(blocks)) == k)), "cond") for k in range(blocks)]
+    met = reduce(lambda a, b: a.unionByName(b), parts)
+    later = F.map_from_arrays("at_y", "ry")
+    aligned = F.when(F.col("at_x") == F.col("at_y"), F.col("ry")).otherwise(F.transform("at_x", lambda k: F.try_element_at(later, k)))
+    pairs = F.filter(F.zip_with("rx", aligned, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda p: p["b"].isNotNull())
+    total = lambda f: F.aggregate("p", F.lit(0.0), lambda s, p: s + f(p))
+    s = met.select("tf", "target", "cond", pairs.alias("p")).filter(F.size("p") > 0).select(
+        "tf", "target", "cond", F.size("p").cast("long").alias("n"), total(lambda p: p["a"]).alias("sx"), total(lambda p: p["b"]).alias("sy"),
+        total(lambda p: p["a"] * p["b"]).alias("sxy"), total(lambda p: p["a"] * p["a"]).alias("sxx"), total(lambda p: p["b"] * p["b"]).alias("syy"),
     )
     root = F.sqrt((F.col("n") * F.col("sxx") - F.col("sx") ** 2) * (F.col("n") * F.col("syy") - F.col("sy") ** 2))
     return s.select("tf", "target", "cond", F.round(F.try_divide(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"), root), 9).alias("r"), "n")
@@ -57,13 +74,13 @@ def edge_class(wt: Column, mut: Column, diff: Column, loose: Column) -> Column:
     )
 
 
-def edges(values: DataFrame, tfs: DataFrame, df: int, params: EdgeParams = EdgeParams()) -> DataFrame:
+def edges(values: DataFrame, tfs: DataFrame, params: EdgeParams = EdgeParams()) -> DataFrame:
     """tf, target, r_wt, r_mut, p_wt, p_mut, fdr_wt, fdr_mut, z_diff, p_diff, fdr_diff, edge_class, direction.
 
-    The p of the difference is the two-sided t of the z (a closed form in place of the permutation null, see permutation_null)."""
+    The p of a correlation has n - 2 degrees of freedom, by the pair's own n. The p of the difference is the two-sided t of the z (a closed form in place of the permutation null, see permutation_null)."""
     r = lag_correlations(values, tfs, params.lag)
     wide = r.groupBy("tf", "target").agg(*[F.max(F.when(F.col("cond") == c, F.col(v))).alias(f"{v}_{c.lower()}") for c in ("WT", "MUT") for v in ("r", "n")])
-    e = wide.withColumns({"p_wt": F.round(correlation_p(F.col("r_wt"), df), 9), "p_mut": F.round(correlation_p(F.col("r_mut"), df), 9)})
+    e = wide.withColumns({f"p_{c}": F.round(correlation_p(F.col(f"r_{c}"), F.col(f"n_{c}") - 2), 9) for c in ("wt", "mut")})
     z = F.coalesce(fisher_z(F.col("r_wt"), F.col("n_wt"), F.col("r_mut"), F.col("n_mut")), F.lit(0.0))
     e = e.withColumn("z_diff", F.round(z, 6))
     e = e.withColumn("p_diff", F.round(normal_two_sided(F.col("z_diff")), 9))
@@ -72,7 +89,7 @@ def edges(values: DataFrame, tfs: DataFrame, df: int, params: EdgeParams = EdgeP
     if params.least_r:
         strong = F.greatest(F.abs("r_wt"), F.abs("r_mut")) >= params.least_r
         e = e.withColumns({p: F.when(strong, F.col(p)) for p in ("p_wt", "p_mut", "p_diff")})
-    sides = ("wt", "mut", "diff")
+    e, sides = stored(e, "edge-tests"), ("wt", "mut", "diff")
     tests = e.select("tf", "target", F.explode(F.create_map(*[x for s in sides for x in (F.lit(s), F.col(f"p_{s}"))])).alias("side", "p"))
     fdr = false_discovery(tests, by=["side"]).groupBy("tf", "target").agg(*[F.round(F.coalesce(F.max(F.when(F.col("side") == s, F.col("fdr"))), F.lit(1.0)), 6).alias(f"fdr_{s}") for s in sides])
     e = e.join(fdr, ["tf", "target"])
@@ -121,61 +138,67 @@ def tf_summary(edges_: DataFrame) -> DataFrame:
     return edges_.groupBy("tf").agg(F.count("*").alias("n"), *map(n, CLASSES), (sig("mut") - sig("wt")).alias("delta_out"), F.round(F.avg(F.abs("r_wt")), 6).alias("mean_wt"), F.round(F.avg(F.when(changed, F.abs(F.col("r_wt") - F.col("r_mut")))), 6).alias("mean_change"))
 
 
-def permutation_null(values: DataFrame, tfs: DataFrame, rounds: int = 100, lag: int = 1, seed: int = 42, block: int = 10) -> DataFrame:
+def permutation_null(values: DataFrame, tfs: DataFrame, rounds: int = 100, lag: int = 1, seed: int = 42, block: int = 256) -> DataFrame:
     """tf, target, z, mean, sd, p: how the difference z compares with relabelled data.
 
     Each round shuffles the samples of a time between the conditions (the first half of them are the new WT), the same for all
-    genes. Rounds are dealt to tasks by blocks; a task holds the matrix of values (genes by samples, the regulators' study, not the
-    corpus) and gives sums that are added up. p is the one-sided normal tail of |z| against the null's moments,
-    or the empirical (count + 1) / (rounds + 1) where the null does not vary. Genes must be complete."""
+    genes. Genes are rows with an array of values by sample, and stay where they are: a task takes `block` of them at a time against
+    the regulators' rows, which are broadcast, for all rounds. Only the sample sheet and the regulators come to the driver.
+    p is the one-sided normal tail of |z| against the null's moments, or the empirical (count + 1) / (rounds + 1) where the null does not vary. Genes that lack a sample drop out."""
     spark = values.sparkSession
-    cells = values.select("gene", "cond", "rep", "time", "value").orderBy("gene", "cond", "rep", "time").toPandas()
-    matrix = cells.pivot_table(index="gene", columns=["time", "cond", "rep"], values="value").dropna()
-    genes, columns = list(matrix.index), matrix.columns.to_frame(index=False)
-    x = matrix.to_numpy()
-    names = [r.tf for r in tfs.orderBy("tf").collect() if r.tf in matrix.index]
-    own = [genes.index(t) for t in names]
-    times = sorted(columns["time"].unique())
-    at = {(t, c): columns.index[(columns["time"] == t) & (columns["cond"] == c)].to_numpy() for t in times for c in ("WT", "MUT")}
-
-    def z_of(groups: dict) -> np.ndarray:
-        out = []
+    sheet = [(r.time, r.cond, r.rep) for r in values.select("time", "cond", "rep").distinct().orderBy("time", "cond", "rep").collect()]
+    times = sorted({t for t, _, _ in sheet})
+    at = {(t, c): np.array([k for k, (u, d, _) in enumerate(sheet) if (u, d) == (t, c)], np.int64) for t in times for c in ("WT", "MUT")}
+    cell = F.sort_array(F.collect_list(F.struct("time", "cond", "rep", "value")))
+    whole = values.filter("value IS NOT NULL").groupBy("gene").agg(cell.alias("s")).filter(F.size("s") == len(sheet)).select("gene", F.transform("s", lambda e: e["value"].cast("double")).alias("x"))
+    known = whole.join(tfs.select(F.col("tf").alias("gene")).distinct(), "gene").orderBy("gene").limit(REGULATORS + 1).collect()
+    if len(known) > REGULATORS:
+        raise ValueError(f"more than {REGULATORS} regulators: give them in parts")
+    given = spark.sparkContext.broadcast(([r.gene for r in known], np.array([r.x for r in known], float).reshape(len(known), len(sheet))))
+
+    def ranked(x: np.ndarray, groups: dict) -> dict:
+        """By condition, the centred ranks of the earlier and of the later values, with their norms."""
+        out = {}
+        for c in ("WT", "MUT"):
+            for side, these in (("x", times[:-lag]), ("y", times[lag:])):
+                r = pd.DataFrame(np.concatenate([x[:, groups[t, c]] for t in these], axis=1)).rank(axis=1).to_numpy()
+                r = r - r.mean(1, keepdims=True)
+                out[c, side] = r, np.sqrt((r**2).sum(1))
+        return out
+
+    def z_of(own: dict, other: dict) -> np.ndarray:
+        z, spare = [], []
         for c in ("WT", "MUT"):
-            a = np.concatenate([x[:, groups[t, c]] for t in times[:-lag]], axis=1)
-            b = np.concatenate([x[:, groups[t, c]] for t in times[lag:]], axis=1)
-            ra, rb = (pd.DataFrame(m).rank(axis=1).to_numpy() for m in (a[own], b))
-            ra, rb = ra - ra.mean(1, keepdims=True), rb - rb.mean(1, keepdims=True)
-            scale = np.sqrt((ra**2).sum(1))[:, None] * np.sqrt((rb**2).sum(1))[None]
-            r = np.divide(ra @ rb.T, scale, out=np.zeros_like(scale), where=scale > 0)
-            out.append((np.arctanh(np.clip(r, -0.9999, 0.9999)), a.shape[1]))
-        (za, na), (zb, nb) = out
-        return (za - zb) / np.sqrt(1 / max(1, na - 3) + 1 / max(1, nb - 3))
-
-    observed = np.abs(z_of(at))
+            (a, na), (b, nb) = own[c, "x"], other[c, "y"]
+            scale = na[:, None] * nb[None]
+            r = np.divide(a @ b.T, scale, out=np.zeros_like(scale), where=scale > 0)
+            z.append(np.arctanh(np.clip(r, -0.9999, 0.9999)))
+            spare.append(1 / max(1, a.shape[1] - 3))
+        return (z[0] - z[1]) / np.sqrt(sum(spare))
+
+    def relabelled(i: int) -> dict:
+        draw, groups = np.random.default_rng([seed, i]), {}
+        for t in times:
+            both = draw.permutation(np.concatenate([at[t, "WT"], at[t, "MUT"]]))
+            groups[t, "WT"], groups[t, "MUT"] = np.split(both, [len(at[t, "WT"])])
+        return groups
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in b.column("id").to_pylist():
-                count, total, square = (np.zeros_like(observed) for _ in range(3))
-                for i in range(k * block, min(rounds, (k + 1) * block)):
-                    draw, groups = np.random.default_rng([seed, i]), {}
-                    for t in times:
-                        both = draw.permutation(np.concatenate([at[t, "WT"], at[t, "MUT"]]))
-                        groups[t, "WT"], groups[t, "MUT"] = np.split(both, [len(at[t, "WT"])])
-                    z = np.abs(z_of(groups))
-                    count, total, square = count + (z >= observed), total + z, square + z * z
-                n = observed.size
-                yield pa.record_batch([pa.array(np.repeat(np.arange(len(names)), len(genes))), pa.array(np.tile(np.arange(len(genes)), len(names))), pa.array(count.ravel()), pa.array(total.ravel()), pa.array(square.ravel())], names=["i", "j", "count", "total", "square"]) if n else b.slice(0, 0)
-
-    sums = spark.range(0, -(-rounds // block), 1, -(-rounds // block)).mapInArrow(run, "i long, j long, count double, total double, square double").groupBy("i", "j").agg(F.sum("count").alias("count"), F.sum("total").alias("total"), F.sum("square").alias("square"))
-    mean = F.col("total") / rounds
-    sd = F.sqrt(F.greatest(F.lit(0.0), F.col("square") / rounds - mean * mean))
-
-    @F.pandas_udf("double")
-    def tail(z: pd.Series) -> pd.Series:
-        return z.map(lambda v: 0.5 * erfc(v / sqrt(2)))
-
-    known = spark.createDataFrame([(i, j, names[i], genes[j], float(observed[i, j])) for i in range(len(names)) for j in range(len(genes))], "i long, j long, tf string, target string, z double")
-    out = sums.join(known, ["i", "j"]).withColumns({"mean": mean, "sd": sd})
-    p = F.when(F.col("sd") > 1e-10, tail((F.col("z") - F.col("mean")) / F.greatest("sd", F.lit(1e-10)))).otherwise((F.col("count") + 1) / (rounds + 1))
-    return out.select("tf", "target", F.round("z", 6).alias("z"), F.round("mean", 6).alias("mean"), F.round("sd", 6).alias("sd"), F.round(p, 6).alias("p"))
+        names, x = given.value
+        for b in batches if names else ():
+            for k in range(0, b.num_rows, block):
+                genes = b.column("gene").slice(k, block).to_pylist()
+                y = np.array(b.column("x").slice(k, block).to_pylist(), float)
+                real = np.abs(z_of(ranked(x, at), ranked(y, at)))
+                count, total, square = (np.zeros_like(real) for _ in range(3))
+                for i in range(rounds):
+                    groups = relabelled(i)
+                    z = np.abs(z_of(ranked(x, groups), ranked(y, groups)))
+                    count, total, square = count + (z >= real), total + z, square + z * z
+                mean = total / rounds
+                sd = np.sqrt(np.maximum(0.0, square / rounds - mean * mean))
+                tail = np.array([0.5 * erfc(v / sqrt(2)) for v in ((real - mean) / np.maximum(sd, 1e-10)).ravel()]).reshape(real.shape)
+                p = np.where(sd > 1e-10, tail, (count + 1) / (rounds + 1))
+                yield pa.record_batch([pa.array(np.repeat(names, len(genes)).tolist(), pa.string()), pa.array(genes * len(names), pa.string()), *(pa.array(np.round(v.ravel(), 6)) for v in (real, mean, sd, p))], names=["tf", "target", "z", "mean", "sd", "p"])
+
+    return whole.withColumn("gene", F.col("gene").cast("string")).mapInArrow(run, "tf string, target string, z double, mean double, sd double, p double")

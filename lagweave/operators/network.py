@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
 from math import lgamma
 
 import numpy as np
@@ -11,7 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.maths import fisher_two_sided, hypergeometric_tail, minus_log10, stars
-from .relational import dominant, endpoints, false_discovery, first_per, touching
+from ..storage import stored
+from .relational import dominant, endpoints, false_discovery, first_per, overlap_labels, shared_targets, touching
 
 CHANGED = ("Lost", "Gained", "Rewired")
 
@@ -47,6 +50,12 @@ def evidence_ranks(hits: DataFrame) -> DataFrame:
     return best.withColumn("evidence_rank", F.rank().over(W.partitionBy("cluster").orderBy(F.desc("max_importance"))))
 
 
+def divergence_ratios(fates: DataFrame) -> DataFrame:
+    """cluster, n_sub, n_diverged, divergence: of the sub-clusters that a cluster's genes fall into (cluster, sub_cluster, label), the share whose label is not Conserved, to three digits."""
+    n = fates.groupBy("cluster").agg(F.count_distinct("sub_cluster").alias("n_sub"), F.count_distinct(F.when(F.col("label") != "Conserved", F.col("sub_cluster"))).alias("n_diverged"))
+    return n.withColumn("divergence", F.round(F.col("n_diverged") / F.col("n_sub"), 3))
+
+
 def class_enrichment(edges: DataFrame, key: str, cluster: str = "cluster", least: int = 1) -> DataFrame:
     """key, cluster, edge_class, q, k, m, all, p, fdr: hypergeometric tail of a key's edges of a class in a cluster.
 
@@ -144,31 +153,31 @@ def ego(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
     return inside(inside(edges, "tf"), "target")
 
 
-def connected(edges: DataFrame, seed: str, rounds: int = 30) -> DataFrame:
-    """node: the component of a seed, hop by hop until nothing is new; each hop goes to the checkpoint folder."""
+def connected(edges: DataFrame, seed: str, rounds: int = 100) -> DataFrame:
+    """node: the component of a seed, hop by hop until nothing is new; each hop is stored. More hops than rounds are an error."""
     spark = edges.sparkSession
-    pairs, reached, n = undirected(edges), spark.createDataFrame([(seed,)], "node string"), 1
+    pairs, n = stored(undirected(edges), "pairs"), 1
+    reached = new = spark.createDataFrame([(seed,)], "node string")
     for _ in range(rounds):
-        new = reached.join(pairs, F.col("node") == F.col("a")).select(F.col("b").alias("node"))
-        reached = reached.union(new).distinct().checkpoint()
-        if (now := reached.count()) == n:
-            break
-        n = now
-    return reached
+        new = stored(new.join(pairs, F.col("node") == F.col("a")).select(F.col("b").alias("node")).distinct().join(reached, "node", "left_anti"), "hop")
+        if not new.take(1):
+            return reached
+        reached = reached.union(new)
+    raise RuntimeError(f"the component of {seed} has not settled in {rounds} rounds")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """node, component (its least node) for the nodes of edges (a, b); each round goes to the checkpoint folder.
+    """node, component (its least node) for the nodes of edges (a, b); each round is stored in the shared folder.
 
     Every node's larger neighbours, then its smaller ones, point to its least neighbour: rounds grow with the logarithm of the nodes."""
-    now, before = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint(), None
+    now, before = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"), None
     for _ in range(rounds):
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        now = small.select("e.u", "e.v").filter("u <> v").distinct().checkpoint()
+        now = stored(small.select("e.u", "e.v").filter("u <> v").distinct(), "edges")
         state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
         if state == before:
             break
@@ -192,11 +201,45 @@ def completed(network: DataFrame, edges: DataFrame) -> DataFrame:
     return network.unionByName(inside.join(network.select("tf", "target"), ["tf", "target"], "left_anti").select(*network.columns))
 
 
-def pruned(edges: DataFrame, keep: DataFrame) -> DataFrame:
-    """Edges whose target has more than one edge that is not Conserved, or is among the nodes to keep."""
+def graded_anchors(focus_tfs: DataFrame, focus_gene: DataFrame, highlights: DataFrame) -> DataFrame:
+    """node, grade: primary for focus regulators, the focus gene (both: node) and highlights of source primary (gene, source); secondary for other highlights that are no primary anchor."""
+    primary = focus_tfs.select("node").union(focus_gene.select("node")).union(highlights.filter("source = 'primary'").select(F.col("gene").alias("node"))).distinct()
+    rest = highlights.filter("source <> 'primary'").select(F.col("gene").alias("node")).distinct().join(primary, "node", "left_anti")
+    return primary.withColumn("grade", F.lit("primary")).unionByName(rest.withColumn("grade", F.lit("secondary")))
+
+
+def pruned(edges: DataFrame, keep: DataFrame, keep_all: bool = False, focus: DataFrame | None = None) -> DataFrame:
+    """Edges whose target has more than one edge that is not Conserved, is a regulator, or is among the nodes to keep.
+
+    keep_all exempts all targets; focus (node) exempts those next to a focus gene, by any edge."""
+    if keep_all:
+        return edges
     n = endpoints(edges.filter("edge_class <> 'Conserved'").select("tf", "target")).groupBy("node").agg(F.count("*").alias("n"))
-    stay = n.filter("n > 1").select("node").union(keep.select("node")).union(edges.select(F.col("tf").alias("node"))).distinct()
-    return edges.join(stay.select(F.col("node").alias("target")), "target", "left_semi").select(*edges.columns)
+    stay = n.filter("n > 1").select("node").union(keep.select("node")).union(edges.select(F.col("tf").alias("node")))
+    if focus is not None:
+        stay = stay.union(endpoints(touching(edges, focus).select("tf", "target")).select("node"))
+    return edges.join(stay.distinct().select(F.col("node").alias("target")), "target", "left_semi").select(*edges.columns)
+
+
+def tier_capped(edges: DataFrame, n: int, anchors: DataFrame, score: str = "mecs") -> DataFrame:
+    """At most n edges, with level: 1 touches a primary anchor, 2 a secondary one (node, grade), 3 none; full levels first, the last by |score|, ties by tf and target."""
+    mark = lambda c, grade, flag: anchors.filter(F.col("grade") == grade).select(F.col("node").alias(c)).distinct().withColumn(flag, F.lit(True))
+    e = edges
+    for grade, flags in (("primary", ("p1_", "p2_")), ("secondary", ("s1_", "s2_"))):
+        e = e.join(mark("tf", grade, flags[0]), "tf", "left").join(mark("target", grade, flags[1]), "target", "left")
+    level = F.when(F.col("p1_") | F.col("p2_"), 1).when(F.col("s1_") | F.col("s2_"), 2).otherwise(3)
+    return e.withColumn("level", level).orderBy("level", F.desc(F.abs(score)), "tf", "target").limit(n).select(*edges.columns, "level")
+
+
+def display_network(edges: DataFrame, n: int, anchors: DataFrame, focus_gene: str, keep: DataFrame, score: str = "mecs") -> DataFrame:
+    """The network of a figure: capped by tiers, pruned again, and cut to what still connects to the focus gene, if that is left in it."""
+    cut = stored(pruned(tier_capped(edges, n, anchors, score), keep), "network")
+    if not cut.filter((F.col("tf") == focus_gene) | (F.col("target") == focus_gene)).take(1):
+        return cut
+    near = connected(cut, focus_gene)
+    for end in ("tf", "target"):
+        cut = cut.join(near.select(F.col("node").alias(end)), end, "left_semi")
+    return cut
 
 
 def capped(edges: DataFrame, n: int, primary: DataFrame) -> DataFrame:
@@ -224,6 +267,84 @@ def gene_edges(edges: DataFrame, genes: list[str]) -> DataFrame:
     return out.unionByName(into)
 
 
+def with_symbols(nodes: DataFrame, *symbols: DataFrame) -> DataFrame:
+    """nodes (node) with label: the first symbol that is there and not empty, of several lists (gene, symbol) in this order, else the node itself."""
+    out = nodes
+    for k, s in enumerate(symbols):
+        out = out.join(s.filter("symbol IS NOT NULL AND symbol <> ''").groupBy(F.col("gene").alias("node")).agg(F.min("symbol").alias(f"s{k}_")), "node", "left")
+    names = [f"s{k}_" for k in range(len(symbols))]
+    return out.withColumn("label", F.coalesce(*names, "node")).drop(*names)
+
+
+def reference_overlap(edges: DataFrame, reference: str) -> DataFrame:
+    """node, overlap: how many of a reference regulator's targets each regulator has, as 'common/size(percent%)'; '---' for itself, and nodes without targets as such."""
+    targets = edges.select(F.col("tf").alias("node"), "target").distinct()
+    ref = targets.filter(F.col("node") == reference).select("target")
+    size = ref.agg(F.count("*").alias("n_"))
+    common = targets.join(F.broadcast(ref.withColumn("r_", F.lit(1))), "target", "left").groupBy("node").agg(F.count("r_").alias("c_"))
+    nodes = endpoints(edges.select("tf", "target")).select("node").distinct().join(common, "node", "left").join(F.broadcast(size))
+    share = F.concat(F.col("c_").cast("string"), F.lit("/"), F.col("n_").cast("string"), F.lit("("), F.bround(F.try_divide(100 * F.col("c_"), F.col("n_")), 0).cast("int").cast("string"), F.lit("%)"))
+    return nodes.select("node", F.when(F.col("node") == reference, "---").when(F.col("c_").isNull(), "--- (pure target)").otherwise(share).alias("overlap"))
+
+
+def subspace_pools(edges: DataFrame, least: int = 3) -> DataFrame:
+    """target, public, private, gained, degree, n_lost: which pools a target lies in, those of regulators (out-degree `least` or more) whose most frequent class is Conserved, Lost or Gained; with its edges and how many are Lost.
+
+    Pool sizes and overlaps are counts of the flags; targets both public and private are junctions."""
+    spaces = subspace(edges, least)
+    has = lambda c: F.array_contains(F.split("spaces", "&"), c)
+    n = endpoints(edges.select("tf", "target", "edge_class")).groupBy(F.col("node").alias("target")).agg(F.count("*").alias("degree"), F.sum((F.col("edge_class") == "Lost").cast("long")).alias("n_lost"))
+    return spaces.select("target", has("Conserved").alias("public"), has("Lost").alias("private"), has("Gained").alias("gained")).join(n, "target")
+
+
+def pool_overlaps(pools: DataFrame) -> DataFrame:
+    """One row: sizes of the pools of subspace_pools() and of their overlaps."""
+    n = lambda *c: F.coalesce(F.sum(reduce(lambda a, b: a & b, [F.col(x) for x in c]).cast("long")), F.lit(0))
+    return pools.agg(n("public").alias("n_public"), n("private").alias("n_private"), n("gained").alias("n_gained"), n("public", "private").alias("n_junction"), n("public", "gained").alias("n_public_gained"), n("private", "gained").alias("n_private_gained"))
+
+
+def divergence_summary(divergence: DataFrame) -> DataFrame:
+    """cluster, edge_class, time, n, mean_diff, sd_diff, mean_wt, mean_mut of the genes' changes (cluster, edge_class, time, wt, mut)."""
+    d = F.col("wt") - F.col("mut")
+    return divergence.groupBy("cluster", "edge_class", "time").agg(F.count("*").alias("n"), F.round(F.avg(d), 4).alias("mean_diff"), F.round(F.stddev_samp(d), 4).alias("sd_diff"), F.round(F.avg("wt"), 4).alias("mean_wt"), F.round(F.avg("mut"), 4).alias("mean_mut"))
+
+
+def full_report(edges: DataFrame, genes: list[str], least: int = 1) -> DataFrame:
+    """section, key, text: the modes' results as one table of lines: topology, pools, shared targets of the first two genes, overlaps, and the genes' own edges."""
+    line = lambda section, key, df, *c: df.select(F.lit(section).alias("section"), F.col(key).cast("string").alias("key"), F.concat_ws(" ", *[F.concat(F.lit(f"{x}="), F.coalesce(F.col(x).cast("string"), F.lit("NA"))) for x in c]).alias("text"))
+    top = topology(edges, least)
+    parts = [line("topology", "node", top, *top.columns[1:]), line("subspace", "target", subspace(edges, 3), "spaces", "n_tf")]
+    own = gene_edges(edges, genes)
+    parts.append(line("profile", "gene", own, "side", "partner", "edge_class"))
+    if len(genes) > 1:
+        sets = edges.filter(F.col("tf").isin(genes)).select(F.col("tf").alias("set"), F.col("target").alias("item"))
+        parts.append(line("overlap", "a", overlap_labels(sets), "b", "label"))
+        parts.append(line("shared", "target", shared_targets(edges.withColumn("r", F.col("r_wt")), *genes[:2]), "class_a", "class_b"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def cytoscape_nodes(nodes: DataFrame) -> DataFrame:
+    """Node_ID, Display_Label, NodeType, Family, Degree: the columns of a network program's node file, from node_table() with labels."""
+    return nodes.select(F.col("node").alias("Node_ID"), F.col("label").alias("Display_Label"), F.col("kind").alias("NodeType"), F.coalesce("family", F.lit("NA")).alias("Family"), F.col("degree").alias("Degree"))
+
+
+def cytoscape_edges(edges: DataFrame) -> DataFrame:
+    """Source, Target, Edge_Class, Delta_r and, where they are there, MECS_Score and Tier: the columns of a network program's edge file."""
+    more = [F.col(c).alias(n) for c, n in (("mecs", "MECS_Score"), ("tier", "Tier")) if c in edges.columns]
+    return edges.select(F.col("tf").alias("Source"), F.col("target").alias("Target"), F.col("edge_class").alias("Edge_Class"), F.round(F.col("r_wt") - F.col("r_mut"), 6).alias("Delta_r"), *more)
+
+
+def resolved_clusters(wanted: list[str], have: list[str]) -> dict[str, str]:
+    """Each wanted cluster name with the column it stands for: the same name, else the first that holds it without its condition (so C1 can stand for C10); names without one drop out."""
+    out = {}
+    for name in wanted:
+        bare = re.sub(r"^(WT_|MUT_)", "", name)
+        found = [name] if name in have else [h for h in have if bare and re.search(bare, h)]
+        if found:
+            out[name] = found[0]
+    return out
+
+
 def topology(edges: DataFrame, least: int = 1) -> DataFrame:
     """node, out, in, degree and edges by class, for nodes with `least` edges or more."""
     kinds = ("Conserved", *CHANGED)
@@ -253,5 +374,11 @@ def marked_changes(contrasts: DataFrame, padj: float = 0.05, lfc: float = 1.0) -
     return contrasts.withColumn("star", star).withColumn("box", box)
 
 
+def volcano_points(contrasts: DataFrame, labels: list[str], most_x: float, most_y: float) -> DataFrame:
+    """contrast, gene, label (of the listed genes only), x (lfc) and y (-log10 p), both capped."""
+    y = F.least(F.lit(most_y), minus_log10(F.col("p")))
+    return contrasts.select("contrast", "gene", F.when(F.col("gene").isin(labels), F.col("gene")).otherwise("").alias("label"), F.greatest(F.lit(-most_x), F.least(F.lit(most_x), F.col("lfc"))).alias("x"), y.alias("y"))
+
+
 def first_family(tfs: DataFrame) -> DataFrame:
     return first_per(tfs, ["tf"], [F.col("family")])

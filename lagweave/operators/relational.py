@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,6 +33,23 @@ def directional(contrasts: DataFrame, fdr: float = 0.05, lfc: float = 1.0, padj:
     return differential(contrasts, fdr, lfc, padj).withColumn("direction", F.when(F.col("lfc") > lfc, "Up").otherwise("Down"))
 
 
+def varying_inside(values: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the keys whose values differ at all; constant ones would leave nothing to a component."""
+    have = values.groupBy(*keys).agg(F.var_samp("value").alias("v_")).filter(F.col("v_") > 0)
+    return values.join(have.select(*keys), keys, "left_semi")
+
+
+def target_filter(edges_or_genes: DataFrame, mode: str, common: DataFrame | None = None, changed: DataFrame | None = None, key: str = "gene") -> DataFrame:
+    """Rows whose key is among the clustered genes (mode `mfuzz`) or those whose fate is not Conserved (`non_conserved`); all of them for `all`, and where the list is not there."""
+    wanted = {"mfuzz": common, "non_conserved": changed}.get(mode)
+    return edges_or_genes if wanted is None else edges_or_genes.join(wanted.select(F.col("gene").alias(key)).distinct(), key, "left_semi")
+
+
+def time_columns(df: DataFrame, conditions: list[str], time: str = r"\d+h$") -> list[str]:
+    """The columns that start with a condition and end in a time, and no others."""
+    return [c for c in df.columns if any(c.startswith(f"{k}_") for k in conditions) and re.search(time, c)]
+
+
 def contrast_parts(contrasts: DataFrame) -> DataFrame:
     """cond_ and time_ from names like Time_WT_3_vs_0; other names drop out."""
     pattern = r"^(?:Time|TimeCourse)_([^_]+)_(.+?)_vs_"
@@ -102,13 +121,22 @@ def merged_highlights(primary: DataFrame, automatic: DataFrame) -> DataFrame:
 # aggregates ------------------------------------------------------------------------------------------------------------
 
 
-def max_fold(values: DataFrame) -> DataFrame:
-    """gene, max_lfc, mean: the largest |difference| of a gene's means from those at its condition's first time."""
+def max_fold(values: DataFrame, control: int | None = None) -> DataFrame:
+    """gene, max_lfc, mean: the largest |difference| of a gene's means from those at the control time, or at its condition's first time where there is none."""
     means = values.groupBy("gene", "cond", "time").agg(F.avg("value").alias("m"))
-    base = F.first("m").over(W.partitionBy("gene", "cond").orderBy("time"))
+    own = W.partitionBy("gene", "cond")
+    first = F.first("m").over(own.orderBy("time").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    base = first if control is None else F.coalesce(F.max(F.when(F.col("time") == control, F.col("m"))).over(own), first)
     return means.withColumn("d", F.abs(F.col("m") - base)).groupBy("gene").agg(F.max("d").alias("max_lfc"), F.avg("m").alias("mean"))
 
 
+def genotype_contrasts(groups: DataFrame, control: str) -> DataFrame:
+    """target, reference, time, contrast for the pairs of conditions that a time has (cond, time): the control is the reference, without it the first in order."""
+    a, b = groups.select("time", F.col("cond").alias("target")), groups.select("time", F.col("cond").alias("reference"))
+    pairs = a.join(b, "time").filter((F.col("target") != F.col("reference")) & ((F.col("reference") == control) | ((F.col("target") != control) & (F.col("reference") < F.col("target")))))
+    return pairs.select("target", "reference", "time", F.format_string("Genotype_%s_vs_%s_at_%d", "target", "reference", "time").alias("contrast"))
+
+
 def confusion(a: DataFrame, b: DataFrame) -> DataFrame:
     """wt_cluster, mut_cluster, overlap, total, ratio: for each cluster of a, the cluster of b that shares most genes; ties to the smaller."""
     n = a.select("gene", F.col("cluster").alias("wt_cluster")).join(b.select("gene", F.col("cluster").alias("mut_cluster")), "gene").groupBy("wt_cluster", "mut_cluster").agg(F.count("*").alias("overlap"))
@@ -135,6 +163,12 @@ def degrees(edges: DataFrame, without: str = "Conserved") -> DataFrame:
     return endpoints(edges.select("tf", "target", "edge_class")).groupBy("node").agg(F.count("*").alias("degree"), F.sum((F.col("edge_class") != without).cast("long")).alias("effective"))
 
 
+def group_statistics(df: DataFrame, by: list[str], value: str, member: str) -> DataFrame:
+    """n, total, mean, largest value and the members, joined by ';' in order of value, of each group."""
+    own = F.sort_array(F.collect_list(F.struct((-F.col(value)).alias("v"), F.col(member).alias("m"))))
+    return df.groupBy(*by).agg(F.count("*").alias("n"), F.round(F.sum(value), 6).alias("total"), F.round(F.avg(value), 6).alias("mean"), F.max(value).alias("largest"), F.array_join(F.transform(own, lambda x: x["m"].cast("string")), ";").alias("members"))
+
+
 def quantile(df: DataFrame, column: str, q: list[float], by: list[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation, one column q<percent> each."""
     return df.groupBy(*by).agg(*[F.percentile(column, F.lit(x)).alias(f"q{int(x * 100)}") for x in q])
@@ -152,6 +186,11 @@ def top(df: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:
     return ranked(df, by, order, "k_").filter(F.col("k_") <= n).drop("k_")
 
 
+def replicate_index(samples: DataFrame, by: list[str], order: str) -> DataFrame:
+    """samples with rep_idx, their place in the group in the order of the sheet, whatever a replicate column says."""
+    return samples.withColumn("rep_idx", F.row_number().over(W.partitionBy(*by).orderBy(order)))
+
+
 def average_rank(column: str, by: list[str]) -> Column:
     """Rank in a group, ties averaged."""
     own = W.partitionBy(*by)
@@ -170,15 +209,30 @@ def lagged_pairs(values: DataFrame, keys: list[str], lag: int = 1) -> DataFrame:
 def false_discovery(df: DataFrame, p: str = "p", by: list[str] = (), name: str = "fdr") -> DataFrame:
     """Benjamini-Hochberg by groups; null p stays null and does not count.
 
-    Counted by distinct p first, so that the ordered window sees each p once, not each row."""
+    Counted by distinct p first, then in two levels: steps of p (64 to each halving, some 70 thousand at most) are summed up in order, and the
+    distinct p of one step are ordered among themselves, so that no task orders all p of a group."""
     by = list(by)
-    n = df.filter(F.col(p).isNotNull()).groupBy(*by, p).agg(F.count("*").alias("n_"))
-    up = W.partitionBy(*by).orderBy(p)
-    n = n.withColumn("at_", F.sum("n_").over(up)).withColumn("all_", F.sum("n_").over(W.partitionBy(*by)))
-    n = n.withColumn(name, F.least(F.lit(1.0), F.min(F.col(p) * F.col("all_") / F.col("at_")).over(W.partitionBy(*by).orderBy(F.desc(p)))))
+    step = F.when(F.col(p) > 0, F.floor(F.log2(p) * 64)).otherwise(-(1 << 20)).cast("int")
+    n = df.filter(F.col(p).isNotNull()).groupBy(*by, p).agg(F.count("*").alias("n_")).withColumn("g_", step)
+    in_order, inside = W.partitionBy(*by).orderBy("g_"), W.partitionBy(*by, "g_")
+    sums = n.groupBy(*by, "g_").agg(F.sum("n_").alias("s_")).withColumns({"before_": F.sum("s_").over(in_order) - F.col("s_"), "all_": F.sum("s_").over(W.partitionBy(*by))})
+    n = n.join(sums.drop("s_"), [*by, "g_"]).withColumn("at_", F.col("before_") + F.sum("n_").over(inside.orderBy(p)))
+    n = n.withColumn("q_", F.col(p) * F.col("all_") / F.col("at_"))
+    later = F.min("low_").over(W.partitionBy(*by).orderBy(F.desc("g_")).rowsBetween(W.unboundedPreceding, -1))
+    lows = n.groupBy(*by, "g_").agg(F.min("q_").alias("low_")).withColumn("later_", later).drop("low_")
+    n = n.join(lows, [*by, "g_"]).withColumn(name, F.least(F.lit(1.0), F.min("q_").over(inside.orderBy(F.desc(p))), "later_"))
     return df.join(n.select(*by, p, name), [*by, p], "left")
 
 
+def digest_rank(df: DataFrame, by: list[str], digest: Column, name: str = "k_") -> DataFrame:
+    """df with the rank, from 1, of a row in its group by a hexadecimal digest. Counts of the digests' first three digits come first, so that no task orders a whole group."""
+    d = df.withColumn("digest_", digest).withColumn("g_", F.substring("digest_", 1, 3))
+    counts = d.groupBy(*by, "g_").agg(F.count("*").alias("n_"))
+    before = counts.withColumn("before_", F.sum("n_").over(W.partitionBy(*by).orderBy("g_")) - F.col("n_")).drop("n_")
+    own = F.row_number().over(W.partitionBy(*by, "g_").orderBy("digest_"))
+    return d.join(before, [*by, "g_"]).withColumn(name, F.col("before_") + own).drop("digest_", "g_", "before_")
+
+
 def tiered_cap(edges: DataFrame, n: int, level: Column, score: str, keys: list[str]) -> DataFrame:
     """At most n edges, filled level by level, by |score|."""
     return edges.orderBy(level, F.desc(F.abs(score)), *keys).limit(n)
@@ -202,6 +256,20 @@ def set_overlaps(members: DataFrame) -> DataFrame:
     return both.select("a", "b", "common", F.round(F.col("common") / F.least("na", "nb"), 6).alias("overlap"), F.round(F.col("common") / (F.col("na") + F.col("nb") - F.col("common")), 6).alias("jaccard"), F.round(F.col("common") / F.col("nb"), 6).alias("share"))
 
 
+def overlap_labels(members: DataFrame) -> DataFrame:
+    """a, b, common, label for all pairs of sets (set, item) that share an item, and each with itself: 'common/size of b(percent%)', and the size alone on the diagonal."""
+    m = members.select("set", "item").distinct()
+    size = m.groupBy(F.col("set").alias("b")).agg(F.count("*").alias("nb"))
+    common = m.select(F.col("set").alias("a"), "item").join(m.select(F.col("set").alias("b"), "item"), "item").groupBy("a", "b").agg(F.count("*").alias("common")).join(size, "b")
+    share = F.concat(F.col("common").cast("string"), F.lit("/"), F.col("nb").cast("string"), F.lit("("), F.bround(100 * F.col("common") / F.col("nb"), 0).cast("int").cast("string"), F.lit("%)"))
+    return common.select("a", "b", "common", F.when(F.col("a") == F.col("b"), F.col("nb").cast("string")).otherwise(share).alias("label"))
+
+
+def overlap_matrix(members: DataFrame, names: list[str]) -> DataFrame:
+    """One row a set, one column for each of the named sets, with the labels of their overlap; '0/n(0%)' is left null where nothing is shared."""
+    return overlap_labels(members.filter(F.col("set").isin(names))).groupBy("a").pivot("b", names).agg(F.first("label"))
+
+
 def intersections(members: DataFrame) -> DataFrame:
     """pattern, n: how many items lie in exactly the sets of a pattern, most first."""
     return members.groupBy("item").agg(F.array_join(F.sort_array(F.collect_set("set")), "&").alias("pattern")).groupBy("pattern").agg(F.count("*").alias("n"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.maths import hypergeometric_tail
 from ..functions.strings import gc_fraction, kmers
+from ..storage import stored
 from .network import components
 
 
@@ -84,7 +85,7 @@ def families(words: DataFrame, cut: float = 2.0) -> DataFrame:
     connected components of near_kmers(), and the merges of one component do not bear on another's: a task holds the near pairs
     of one component, never all pairs of a group. Rows without group or k-mer take no part."""
     w = words.select("group", "kmer").filter("group IS NOT NULL AND kmer IS NOT NULL").distinct()
-    pairs = near_kmers(w, int(cut)).checkpoint()
+    pairs = stored(near_kmers(w, int(cut)), "near-kmers")
     # a node is a hash: equal ones of different k-mers would only lay two components into one task
     node = lambda c: F.xxhash64("group", c)
     parts = components(pairs.select(node("a").alias("a"), node("b").alias("b")))
@@ -134,6 +135,112 @@ def _edits(a: str, b: str) -> int:
     return row[-1]
 
 
+def with_subsequence(regions_: DataFrame, sequences: DataFrame) -> DataFrame:
+    """regions (gene, region, start, end) with the stretch of each gene's sequence (gene, seq), from the strand as it is stored."""
+    return regions_.join(sequences.select("gene", "seq"), "gene").withColumn("part", F.substring("seq", F.col("start"), F.col("end") - F.col("start") + 1)).drop("seq")
+
+
+def region_features(present: DataFrame, whitelist: DataFrame) -> DataFrame:
+    """gene, feature (region_kmer): presence (gene, region, kmer) of the listed k-mers (region, kmer), for the genes that every region has."""
+    n = present.select("region").distinct().agg(F.count("*").alias("n_"))
+    common = present.groupBy("gene").agg(F.count_distinct("region").alias("k_")).join(F.broadcast(n)).filter("k_ = n_").select("gene")
+    kept = present.join(common, "gene", "left_semi").join(whitelist.select("region", "kmer").distinct(), ["region", "kmer"], "left_semi")
+    return kept.select("gene", F.concat_ws("_", "region", "kmer").alias("feature")).distinct()
+
+
+def mean_gc(parts: DataFrame) -> DataFrame:
+    """gene, gc: the mean over a gene's regions (gene, region, part) of their GC share; empty ones do not count."""
+    return parts.groupBy("gene").agg(F.round(F.avg(gc_fraction(F.col("part"))), 6).alias("gc"))
+
+
+def annotated(features: DataFrame, annotation: DataFrame, key: str) -> DataFrame:
+    """features with what the annotation knows of their key; features without it stay, and a key that is annotated twice takes the first in order."""
+    rest = [c for c in annotation.columns if c != key]
+    first = annotation.groupBy(key).agg(F.min(F.struct(*rest)).alias("a_")).select(key, "a_.*")
+    return features.join(first, key, "left")
+
+
+def _aligned(base: np.ndarray, other: np.ndarray, overlap: int) -> tuple[float, int, np.ndarray]:
+    """(mean column correlation, shift, strand used) of the best place of `other` against `base`; the first strand wins ties, then the leftmost shift."""
+    best = (-2.0, 0, other)
+    for strand in (other, other[::-1, ::-1]):
+        for shift in range(-(len(strand) - overlap), len(base) - overlap + 1):
+            a, b = max(0, shift), max(0, -shift)
+            n = min(len(base) - a, len(strand) - b)
+            if n >= overlap and (score := column_correlation(base[a : a + n], strand[b : b + n])) > best[0] + 1e-12:
+                best = (score, shift, strand)
+    return best
+
+
+def merged_motif(kmers_: list[str], weights: list[float], overlap: int = 4, least_ic: float = 0.25) -> np.ndarray:
+    """Columns of four shares of a family's k-mers: merged onto the heaviest at their best shift and strand, weighted, with thin edges cut.
+
+    A place counts the weights of the k-mers that cover it; edge columns of less information than least_ic (bits) go, all but one column at most.
+    A k-mer too short for the overlap is left out."""
+    order = sorted(range(len(kmers_)), key=lambda k: (-weights[k], kmers_[k]))
+    rows = [np.array([[1.0 if c == x else 0.0 for c in "ACGT"] if x in "ACGT" else [0.25] * 4 for x in kmers_[k].upper()]) for k in order]
+    top = max(weights) or 1.0
+    heavy = [max(10, round(weights[k] / top * 1000)) for k in order]
+    total, weight = rows[0] * heavy[0], np.full(len(rows[0]), float(heavy[0]))
+    for row, w in zip(rows[1:], heavy[1:], strict=True):
+        least = min(overlap, len(row) - 1, len(total) - 1)
+        if least < 1:
+            continue
+        _, shift, strand = _aligned(total / weight[:, None], row, least)
+        left, right = max(0, -shift), max(0, shift + len(strand) - len(total))
+        total, weight = np.pad(total, ((left, right), (0, 0))), np.pad(weight, (left, right))
+        at = shift + left
+        total[at : at + len(strand)] += strand * w
+        weight[at : at + len(strand)] += w
+    shares = total / weight[:, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        bits = 2 + np.where(shares > 0, shares * np.log2(shares), 0.0).sum(1)
+    good = np.flatnonzero(bits >= least_ic)
+    return shares[good[0] : good[-1] + 1] if len(good) else shares[:1]
+
+
+def consensus_motifs(members: DataFrame, overlap: int = 4, least_ic: float = 0.25) -> DataFrame:
+    """name, ppm, consensus, width: the merged motif of each family (name, kmer, weight). A family is one row with its k-mers, a cluster's list."""
+    each = members.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("kmer", "weight"))).alias("m"))
+
+    def run(batches):
+        for pdf in batches:
+            ppm = [merged_motif([x["kmer"] for x in m], [float(x["weight"]) for x in m], overlap, least_ic) for m in pdf["m"]]
+            letters = ["".join("ACGT"[c.argmax()] if c.max() >= 0.5 else "N" for c in p) for p in ppm]
+            yield pd.DataFrame({"name": pdf["name"], "ppm": [np.round(p, 6).tolist() for p in ppm], "consensus": letters, "width": [len(p) for p in ppm]})
+
+    return each.mapInPandas(run, f"name {dict(members.dtypes)['name']}, ppm array<array<double>>, consensus string, width int")
+
+
+def aligned_to(pairs: DataFrame, overlap: int = 4) -> DataFrame:
+    """name, motif, shift, pcc, ppm: each query's columns laid onto the database motif's (name, query, motif, base: arrays of columns), at the best shift and strand, padded by quarters and cut to its width."""
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for name, motif, q, m in zip(pdf["name"], pdf["motif"], pdf["query"], pdf["base"], strict=True):
+                q, m = (np.array([list(c) for c in x], float) for x in (q, m))
+                least = min(overlap, len(q), len(m))
+                score, shift, strand = _aligned(m, q, least)
+                laid = np.full((len(m), 4), 0.25)
+                a, b = max(0, shift), max(0, -shift)
+                n = min(len(m) - a, len(strand) - b)
+                laid[a : a + n] = strand[b : b + n]
+                out.append((name, motif, shift, round(score, 6), np.round(laid, 6).tolist()))
+            yield pd.DataFrame(out, columns=["name", "motif", "shift", "pcc", "ppm"])
+
+    kinds = dict(pairs.dtypes)
+    return pairs.select("name", "motif", "query", "base").mapInPandas(run, f"name {kinds['name']}, motif {kinds['motif']}, shift int, pcc double, ppm array<array<double>>")
+
+
+def best_two(matches: DataFrame) -> DataFrame:
+    """query, with its two best motifs side by side: top1, pcc1, top2, pcc2 (query, motif, pcc); null correlations count as -1 and come last."""
+    place = F.row_number().over(W.partitionBy("query").orderBy(F.desc(F.coalesce("pcc", F.lit(-1.0))), "motif"))
+    kept = matches.withColumn("k_", place).filter("k_ <= 2")
+    at = lambda c, k: F.max(F.when(F.col("k_") == k, F.col(c)))
+    return kept.groupBy("query").agg(at("motif", 1).alias("top1"), at("pcc", 1).alias("pcc1"), at("motif", 2).alias("top2"), at("pcc", 2).alias("pcc2"))
+
+
 def position_weights(words: DataFrame) -> DataFrame:
     """group, place, A, C, G, T, letter: weighted letter shares of aligned words of one length (group, kmer, weight), with the majority letter or N."""
     from ..functions.strings import consensus

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -119,68 +122,201 @@ def loess(x: np.ndarray, y: np.ndarray, grid: np.ndarray, span: float = 0.75) ->
 
 
 def smooth_peaks(profiles: DataFrame, points: int = 100, span: float = 0.75) -> DataFrame:
-    """gene, cond, peak: the first highest point of each smoothed profile (gene, cond, time, value)."""
+    """gene, cond, peak: the first highest point of each smoothed profile (gene, cond, time, value). A profile is one row with its two arrays, smoothed batch by batch."""
+    own = F.sort_array(F.collect_list(F.struct(F.col("time").cast("double").alias("x"), F.col("value").alias("y"))))
+    arrays = profiles.filter("value IS NOT NULL").groupBy("gene", "cond").agg(own.alias("s")).select("gene", "cond", F.transform("s", lambda e: e["x"]).alias("x"), F.transform("s", lambda e: e["y"]).alias("y"))
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("time")
-        x, y = pdf["time"].to_numpy(float), pdf["value"].to_numpy(float)
-        grid = np.linspace(x[0], x[-1], points)
-        return pd.DataFrame({"gene": [pdf["gene"].iloc[0]], "cond": [pdf["cond"].iloc[0]], "peak": [round(float(grid[np.argmax(loess(x, y, grid, span))]), 6)]})
+    def run(batches):
+        for b in batches:
+            peaks = []
+            for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True):
+                x, y = np.array(x, float), np.array(y, float)
+                grid = np.linspace(x[0], x[-1], points)
+                peaks.append(round(float(grid[np.argmax(loess(x, y, grid, span))]), 6))
+            yield pa.record_batch([b.column("gene"), b.column("cond"), pa.array(peaks, pa.float64())], names=["gene", "cond", "peak"])
 
-    return profiles.groupBy("gene", "cond").applyInPandas(one, "gene string, cond string, peak double")
+    return arrays.mapInArrow(run, "gene string, cond string, peak double")
 
 
-def cluster_limit(n: int) -> int:
-    """Most clusters for n genes."""
-    return max(2, min(int(n**0.5), n // 10))
+def cluster_limit(n: int, nested: bool = False) -> int:
+    """Most clusters for n genes: the root of n and n / 10; inside a cluster fewer for less than 50 and 100 genes."""
+    limit = min(int(n**0.5), n // 10)
+    if nested and n < 50:
+        limit = min(4, limit)
+    elif nested and n < 100:
+        limit = min(int(n**0.5 / 1.5), n // 10, 6)
+    return limit
 
 
-def curve_class(values: list[float], prominence: float = 0.10) -> str:
-    """U-shape, valley, monotonic or fluctuating: the form of an index over numbers of clusters."""
-    v = np.array(values, float)
-    third, quarter = max(1, len(v) // 3), len(v) // 4
-    low = v[quarter : len(v) - quarter].min()
-    if v[:third].mean() > 1.05 * low and v[-third:].mean() > 1.05 * low:
-        return "U"
-    if valleys(values, prominence):
-        return "valley"
-    return "monotonic" if len(v) > 1 and (np.diff(v) < 0).mean() > 0.85 else "fluctuating"
+def limited_counts(counts: list[int], n: int, nested: bool = False) -> list[int]:
+    """The numbers of clusters to try for n genes; three at least, if there are so many."""
+    kept = [c for c in counts if c <= max(cluster_limit(n, nested), min(counts) + 2)]
+    return kept if len(kept) >= 3 else [c for c in range(min(counts), min(counts) + 3) if c <= max(counts)]
 
 
 def valleys(values: list[float], prominence: float = 0.10) -> list[int]:
-    """Places of local minima that lie below the peaks on both sides by a share of the range."""
+    """Places of local minima whose prominence is a share of the range or more.
+
+    A side's peak is the highest value up to the first one below the minimum; the lower of both peaks counts."""
     v = np.array(values, float)
     spread = np.ptp(v) or 1.0
-    return [k for k in range(1, len(v) - 1) if v[k] < v[k - 1] and v[k] <= v[k + 1] and min(v[:k].max(), v[k + 1 :].max()) - v[k] >= prominence * spread]
+    out = []
+    for k in range(1, len(v) - 1):
+        if v[k] < v[k - 1] and v[k] <= v[k + 1]:
+            sides = []
+            for side in (v[:k][::-1], v[k + 1 :]):
+                lower = np.flatnonzero(side < v[k])
+                sides.append(side[: lower[0] if len(lower) else len(side)].max(initial=v[k]))
+            if min(sides) - v[k] >= prominence * spread:
+                out.append(k)
+    return out
 
 
-def choose_clusters(counts: list[int], values: list[float]) -> int:
-    """The count of the least index on a U or valley; on a falling curve that of the most curvature, or a third along if it is flat."""
-    if curve_class(values) in ("U", "valley"):
-        return counts[int(np.argmin(values))]
-    bend = np.diff(values, 2)
-    if len(bend) and bend.max() >= 0.01:
-        return counts[int(np.argmax(bend)) + 1]
-    return counts[len(counts) // 3]
+def curve_class(values: list[float], prominence: float = 0.10) -> str:
+    """U, valley, monotonic or fluctuating: the form of an index over numbers of clusters.
 
+    U: the means of the first third (two values at least) and of the last third lie 5 % above the least value of the middle half."""
+    v, n = np.array(values, float), len(values)
+    first, last = v[: max(2, n // 3)], v[max(1, n - n // 3 + 1) - 1 :]
+    middle = v[max(2, n // 4) - 1 : max(max(2, n // 4), min(n - 1, 3 * n // 4))]
+    if first.mean() > 1.05 * middle.min() and last.mean() > 1.05 * middle.min():
+        return "U"
+    if valleys(values, prominence):
+        return "valley"
+    return "monotonic" if n > 1 and (np.diff(v) < 0).mean() > 0.85 else "fluctuating"
 
-def fates(core: DataFrame, profiles: DataFrame, clusters: int = 2, least: int = 4) -> DataFrame:
-    """wt_cluster, gene, sub_cluster, size: what becomes of the core genes of a WT cluster in MUT, by splitting their MUT profiles.
 
-    core: gene, wt_cluster. profiles: gene, z (array by time). Groups below `least` genes drop out; a group is one cluster's core."""
+def bending(values: list[float]) -> np.ndarray:
+    """Curvature |y''| / (1 + y'^2)^1.5 at each place, from its neighbours; 0 at the ends."""
+    v = np.array(values, float)
+    out = np.zeros(len(v))
+    if len(v) >= 3:
+        slope = (v[2:] - v[:-2]) / 2
+        out[1:-1] = np.abs(np.diff(v, 2)) / (1 + slope**2) ** 1.5
+    return out
+
+
+def lowess(x: np.ndarray, y: np.ndarray, share: float = 0.3, passes: int = 3) -> np.ndarray:
+    """Locally weighted lines through the share of nearest points, tricube weights, with bisquare weights of the residuals in some further passes."""
+    n = len(x)
+    k = max(2, min(n, int(n * share + 1e-7)))
+    trust, fit = np.ones(n), y.astype(float)
+    for _ in range(passes + 1):
+        fit = np.empty(n)
+        for i in range(n):
+            d = np.abs(x - x[i])
+            h = np.sort(d)[k - 1]
+            w = np.where(d <= 0.999 * h, np.where(d > 0.001 * h, (1 - np.minimum(1, d / (h or 1)) ** 3) ** 3, 1.0), 0.0) * trust
+            if w.sum() <= 0:
+                fit[i] = y[i]
+                continue
+            w = w / w.sum()
+            centre = (w * x).sum()
+            spread = (w * (x - centre) ** 2).sum()
+            fit[i] = (w * y).sum() + ((x[i] - centre) * (w * (x - centre) * y).sum() / spread if np.sqrt(spread) > 0.001 * np.ptp(x) else 0.0)
+        left = np.abs(y - fit)
+        scale = 6 * np.median(left)
+        if scale < 1e-7 * max(1e-300, left.mean()):
+            break
+        trust = np.where(left <= 0.001 * scale, 1.0, np.where(left <= 0.999 * scale, (1 - np.minimum(1, left / scale) ** 2) ** 2, 0.0))
+    return fit
+
+
+def choose_clusters(counts: list[int], values: list[float], nested: bool = False) -> int:
+    """The number of clusters by the form of the index: the least value on a U or valley; on a falling curve the place of most curvature, or a third along where it is flat; else the least value after smoothing.
+
+    Below three numbers the middle one."""
+    if len(counts) < 3:
+        return counts[(len(counts) + 1) // 2 - 1]
+    form = curve_class(values, 0.15 if nested else 0.10)
+    if form in ("U", "valley"):
+        return counts[int(np.argmin(values))]
+    if form == "monotonic":
+        bend = bending(values)
+        return counts[int(np.argmax(bend[1:-1])) + 1 if bend.max() >= 0.01 else max(2, -(-len(counts) // 3)) - 1]
+    smooth = lowess(np.array(counts, float), np.array(values, float), 0.5 if nested else 0.3) if len(counts) >= 4 else np.array(values)
+    return counts[int(np.argmin(smooth))]
+
+
+def _cmeans(x: np.ndarray, clusters: int, m: float = 2.0, rounds: int = 25) -> tuple[np.ndarray, np.ndarray]:
+    """(memberships, centres) of fuzzy c-means from evenly spread rows; a small helper for one cluster's genes."""
+    centre = x[np.linspace(0, len(x) - 1, clusters).astype(int)]
+    for _ in range(rounds):
+        d = ((x[:, None] - centre[None]) ** 2).sum(2) + 1e-12
+        u = d ** (-1 / (m - 1))
+        u = u / u.sum(1, keepdims=True)
+        centre = (u.T**m @ x) / (u.T**m).sum(1, keepdims=True)
+    return u, centre
+
+
+def scanned_clusters(x: np.ndarray, counts: list[int], m: float = 2.0, nested: bool = True) -> int:
+    """The number of clusters for the rows of x: Kwon's index over the numbers that are allowed for so many rows, until one leaves a cluster without a member of 0.5."""
+    tried, values = [], []
+    for c in limited_counts(counts, len(x), nested):
+        u, centre = _cmeans(x, c, m)
+        if (u.max(0) < 0.5).any():
+            break
+        d = ((x[:, None] - centre[None]) ** 2).sum(2)
+        apart = min(((a - b) ** 2).sum() for i, a in enumerate(centre) for b in centre[:i]) if c > 1 else 1.0
+        values.append(((u**m * d).sum() + ((centre - centre.mean(0)) ** 2).sum() / c) / max(apart, 1e-12))
+        tried.append(c)
+    return choose_clusters(tried, values, nested) if tried else min(counts)
+
+
+def fate_label(shape: Column, amp: Column, phase: Column, limits: tuple[float, float, float] = (0.15, 0.15, 0.25)) -> Column:
+    """Shape_Diverged before Amp_Altered before Phase_Shifted, all strict; else Conserved."""
+    return F.when(shape > limits[0], "Shape_Diverged").when(amp > limits[1], "Amp_Altered").when(phase > limits[2], "Phase_Shifted").otherwise("Conserved")
+
+
+def fates(core: DataFrame, profiles: DataFrame, centres: DataFrame, counts: tuple[int, ...] = (2, 3, 4, 5, 6), least: int = 4) -> DataFrame:
+    """wt_cluster, gene, sub_cluster, membership, shape, amp, phase, size: what becomes of the core genes of a WT cluster in MUT, by splitting their MUT profiles.
+
+    core: gene, wt_cluster. profiles: gene, z (array by time). centres: wt_cluster, times, centre (arrays). The number of sub-clusters is
+    scanned for; shape, amp and phase compare each sub-cluster's centre with the WT centre; size counts members of 0.5 or more. Groups below `least`
+    genes drop out; a group is one cluster's core, a list of the study's genes."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("gene")
-        out = pd.DataFrame({"wt_cluster": pdf["wt_cluster"], "gene": pdf["gene"], "sub_cluster": 1, "size": len(pdf)})
+        names = ["wt_cluster", "gene", "sub_cluster", "membership", "shape", "amp", "phase", "size"]
         if len(pdf) < least:
-            return out.iloc[:0]
+            return pd.DataFrame([], columns=names)
         x = np.stack(pdf["z"].map(lambda v: np.array(v, float)).to_list())
-        centre = x[np.linspace(0, len(x) - 1, clusters).astype(int)]
-        for _ in range(25):
-            d = ((x[:, None] - centre[None]) ** 2).sum(2) + 1e-12
-            u = (1 / d) / (1 / d).sum(1, keepdims=True)
-            centre = (u.T**2 @ x) / (u.T**2).sum(1, keepdims=True)
+        u, centre = _cmeans(x, scanned_clusters(x, list(counts)))
+        times, wt = np.array(pdf["times"].iloc[0], float), np.array(pdf["centre"].iloc[0], float)
+        metrics = np.round([compare(wt, c, times)[:3] for c in centre], 6)
         own = u.argmax(1)
-        return out.assign(sub_cluster=own + 1, size=np.bincount(own, minlength=clusters)[own])
+        sizes = (u >= 0.5).sum(0)
+        return pd.DataFrame({"wt_cluster": pdf["wt_cluster"], "gene": pdf["gene"], "sub_cluster": own + 1, "membership": np.round(u[np.arange(len(x)), own], 6), "shape": metrics[own, 0], "amp": metrics[own, 1], "phase": metrics[own, 2], "size": sizes[own]})
+
+    joined = core.join(profiles, "gene").join(F.broadcast(centres), "wt_cluster")
+    out = joined.groupBy("wt_cluster").applyInPandas(one, "wt_cluster int, gene string, sub_cluster int, membership double, shape double, amp double, phase double, size int")
+    return out.withColumn("label", fate_label(F.col("shape"), F.col("amp"), F.col("phase")))
+
+
+def fate_totals(fates_: DataFrame) -> DataFrame:
+    """label, genes (sum of the sizes of sub-clusters), n_sub: totals by fate, over the sub-clusters (wt_cluster, sub_cluster, label, size)."""
+    each = fates_.select("wt_cluster", "sub_cluster", "label", "size").distinct()
+    return each.groupBy("label").agg(F.sum("size").cast("long").alias("genes"), F.count("*").alias("n_sub"))
+
+
+#: Patterns of a label and the column that its genes count to, first that fits (fixed values).
+FATES = (("^Conserved$", "conserved"), ("Shape", "shape_diverged"), ("Phase", "phase_shifted"), ("Amp|Repressed|Enhanced", "amp_altered"))
+
+
+def fate_composition(fates_: DataFrame) -> DataFrame:
+    """wt_cluster with the genes of its sub-clusters by fate, one column each, by the first pattern that a label fits."""
+    kind = reduce(lambda tail, f: F.when(F.col("label").rlike(f[0]), f[1]).otherwise(tail), reversed(FATES), F.lit(None))
+    each = fates_.select("wt_cluster", "sub_cluster", "label", "size").distinct().withColumn("kind", kind)
+    return each.groupBy("wt_cluster").agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("size"))), F.lit(0)).cast("long").alias(k) for _, k in FATES])
+
+
+def cascade(clusters: DataFrame, composition: DataFrame) -> DataFrame:
+    """place, and clusters (cluster, stage, peak) with their composition (wt_cluster, ...), in the order of stage, then peak, then cluster. Clusters are some tens."""
+    order = F.row_number().over(W.orderBy("stage", "peak", "cluster"))
+    return clusters.withColumn("place", order).join(composition.withColumnRenamed("wt_cluster", "cluster"), "cluster", "left")
+
 
-    return core.join(profiles, "gene").groupBy("wt_cluster").applyInPandas(one, "wt_cluster int, gene string, sub_cluster int, size int")
+def unmatched(costs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """side, cluster: the clusters of either side (wt, mut) that the assignment leaves without a partner."""
+    side = lambda c: costs.select(F.col(c).alias("cluster")).distinct().join(pairs.select(F.col(c).alias("cluster")), "cluster", "left_anti").select(F.lit(c.upper()).alias("side"), "cluster")
+    return side("wt").unionByName(side("mut"))

@@ -76,7 +76,7 @@ def st16_matched_negatives(spark, sf):
     return Q.matched_negatives(s)
 
 
-WORDS = "words AS (SELECT DISTINCT p_brand AS grp, substr(upper(translate(lower(p_name), 'abcdefghijklmnopqrstuvwxyz ', 'acgtacgtacgtacgtacgtacgtac')), 1, 6) AS kmer FROM part WHERE p_partkey <= 400)"
+WORDS = "words AS (SELECT DISTINCT p_brand AS grp, substr(upper(translate(lower(p_name), 'abcdefghijklmnopqrstuvwxyz ', 'acgtacgtacgtacgtacgtacgtac')), 1, 6) AS kmer FROM part)"
 
 
 def _words(spark, sf):
@@ -84,7 +84,7 @@ def _words(spark, sf):
     return w.select(F.col("p_brand").alias("group"), F.substring(F.upper(F.translate(F.lower("p_name"), "abcdefghijklmnopqrstuvwxyz ", "acgtacgtacgtacgtacgtacgtac")), 1, 6).alias("kmer")).distinct()
 
 
-@query("WITH " + WORDS.replace(" WHERE p_partkey <= 400", "") + ' SELECT a.grp AS "group", a.kmer AS a, b.kmer AS b, CAST(levenshtein(a.kmer, b.kmer) AS INT) AS distance FROM words a JOIN words b ON a.grp = b.grp AND a.kmer < b.kmer WHERE levenshtein(a.kmer, b.kmer) <= 2')
+@query("WITH " + WORDS + ' SELECT a.grp AS "group", a.kmer AS a, b.kmer AS b, CAST(levenshtein(a.kmer, b.kmer) AS INT) AS distance FROM words a JOIN words b ON a.grp = b.grp AND a.kmer < b.kmer WHERE levenshtein(a.kmer, b.kmer) <= 2')
 def cl9_near_kmers(spark, sf):
     w = table(spark, sf, "part")
     return Q.near_kmers(w.select(F.col("p_brand").alias("group"), F.substring(F.upper(F.translate(F.lower("p_name"), "abcdefghijklmnopqrstuvwxyz ", "acgtacgtacgtacgtacgtacgtac")), 1, 6).alias("kmer")))
@@ -140,7 +140,7 @@ def ts8_matched_clusters(spark, sf):
 def ts11_fates(spark, sf):
     p = P.standardised(P.profiles(expression(spark, sf))).filter("cond = 'MUT'").groupBy("gene").agg(F.sort_array(F.collect_list(F.struct("time", "z"))).alias("s")).select("gene", F.transform("s", lambda x: x["z"]).alias("z"))
     core = P.best_cluster(memberships(spark, sf).filter("cond = 'WT'")).select("gene", F.col("cluster").alias("wt_cluster"))
-    return T.fates(core, p)
+    return T.fates(core, p, _centres(spark, sf).filter("cond = 'WT'").select(F.col("cluster").alias("wt_cluster"), "times", F.col("c").alias("centre")))
 
 
 @query()
@@ -204,17 +204,18 @@ def _vectors(spark, sf):
 @query()
 def ml1_forest_auc(spark, sf):
     """ML1-ML4: AUC by fold of a forest on balanced folds."""
-    return L.auc(L.forest_scores(_vectors(spark, sf))[0], ["fold"])
+    return L.auc(L.forest_scores(_vectors(spark, sf))[0], ["replicate", "fold"])
 
 
 @query()
 def ml3_importance(spark, sf):
-    return L.importance_summary(L.forest_scores(_vectors(spark, sf))[1])
+    """Two replicates with their own folds and negatives."""
+    return L.importance_summary(L.forest_scores(_vectors(spark, sf), k=2, replicates=2)[1])
 
 
 @query()
-def ml6_permutation_auc(spark, sf):
-    """ML6, ST17: AUC of document length for quality against shuffled labels."""
+def st17_permutation_auc(spark, sf):
+    """ST17: AUC of document length for quality against shuffled labels; ml6_refitted_null fits models anew."""
     s = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select(F.col("doc_id").alias("id"), F.col("n_chars").alias("score"), (F.col("quality") == 1).alias("positive"))
     null = L.auc(L.shuffled_labels(s, 20).join(s.select("id", "score"), "id"), ["round"]).withColumnRenamed("auc", "value")
     return L.empirical(null.join(F.broadcast(L.auc(s).withColumnRenamed("auc", "real"))), F.col("real"), 20)

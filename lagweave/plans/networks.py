@@ -11,6 +11,7 @@ from ..operators import network as N
 from ..operators import profiles as P
 from ..operators import relational as R
 from ..sources.views import MEMBERSHIPS_SQL, REGULATORS_SQL, expression, expression_sql, memberships, regulators
+from ..storage import once
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -29,24 +30,47 @@ def query(sql: str):
 DF = 16
 
 
-def _complete(values: DataFrame) -> DataFrame:
-    """Genes with all 2 x 7 x 3 cells."""
-    have = values.groupBy("gene").agg(F.count("*").alias("k_")).filter("k_ = 42")
-    return values.join(have.select("gene"), "gene", "left_semi")
+def _complete(spark: SparkSession, sf: str) -> DataFrame:
+    """Expression of the genes with all 2 x 7 x 3 cells, stored once for each folder of inputs."""
 
+    def make() -> DataFrame:
+        values = once(spark, "expression", sf, make=lambda: expression(spark, sf))
+        have = values.groupBy("gene").agg(F.count("*").alias("k_")).filter("k_ = 42")
+        return values.join(have.select("gene"), "gene", "left_semi")
 
-def _edges(spark: SparkSession, sf: str) -> DataFrame:
-    return X.edges(_complete(expression(spark, sf)), regulators(spark, sf), DF)
+    return once(spark, "complete", sf, make=make)
+
+
+def _edges(spark: SparkSession, sf: str, params: X.EdgeParams = X.EdgeParams()) -> DataFrame:
+    """The edge table of these inputs and parameters, stored once: what is asked of it starts from there."""
+    return once(spark, "edges", sf, params, make=lambda: X.edges(_complete(spark, sf), regulators(spark, sf), params))
+
+
+def _members(spark: SparkSession, sf: str) -> DataFrame:
+    return once(spark, "memberships", sf, make=lambda: memberships(spark, sf))
+
+
+def _divergence(members: DataFrame) -> DataFrame:
+    """cluster, divergence: for each WT cluster the share of MUT clusters that its genes go to which are not its own."""
+    best = P.best_cluster(members)
+    side = lambda c, n: best.filter(F.col("cond") == c).select("gene", F.col("cluster").alias(n))
+    fate = side("WT", "cluster").join(side("MUT", "sub_cluster"), "gene").withColumn("label", F.when(F.col("cluster") == F.col("sub_cluster"), "Conserved").otherwise("Diverged"))
+    return N.divergence_ratios(fate).select("cluster", "divergence")
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Edges with the cluster, membership and divergence of the target and the rank of the regulator's family there."""
-    m = memberships(spark, sf).filter("cond = 'WT'")
-    own = P.best_cluster(m).join(m, ["gene", "cond", "cluster"]).select(F.col("gene").alias("target"), "cluster", "membership")
-    e = _edges(spark, sf).join(own, "target", "left").withColumn("divergence", F.round((F.col("cluster") % 3 + 1) / 3, 6))
-    e = e.join(regulators(spark, sf), "tf")
-    hits = e.filter("cluster IS NOT NULL AND r_wt > 0.2").select("cluster", "family", F.col("r_wt").alias("importance"))
-    return N.scored(e.join(N.evidence_ranks(hits).select("cluster", "family", "evidence_rank"), ["cluster", "family"], "left"))
+    """Edges with the cluster, membership and divergence of the target and the rank of the regulator's family there; stored once."""
+
+    def make() -> DataFrame:
+        members = _members(spark, sf)
+        m = members.filter("cond = 'WT'")
+        own = P.best_cluster(m).join(m, ["gene", "cond", "cluster"]).select(F.col("gene").alias("target"), "cluster", "membership")
+        e = _edges(spark, sf).join(own, "target", "left").join(F.broadcast(_divergence(members)), "cluster", "left")
+        e = e.join(regulators(spark, sf), "tf")
+        hits = e.filter("cluster IS NOT NULL AND r_wt > 0.2").select("cluster", "family", F.col("r_wt").alias("importance"))
+        return N.scored(e.join(N.evidence_ranks(hits).select("cluster", "family", "evidence_rank"), ["cluster", "family"], "left"))
+
+    return once(spark, "scored", sf, make=make)
 
 
 def _bh(name: str, src: str, p: str, out: str) -> str:
@@ -77,7 +101,9 @@ edges AS (SELECT tf, target, r_wt, r_mut, p_wt, p_mut, fdr_wt, fdr_mut, z_diff,
 
 SCORED = f"""{EDGES}, {MEMBERSHIPS_SQL},
 own AS (SELECT gene AS target, cluster, membership FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY membership DESC, cluster) AS k FROM members WHERE cond = 'WT') WHERE k = 1),
-placed AS (SELECT e.*, o.cluster, o.membership, round((o.cluster % 3 + 1) / 3, 6) AS divergence, f.family FROM edges e LEFT JOIN own o USING (target) JOIN tfs f ON e.tf = f.tf),
+best_of AS (SELECT gene, cond, cluster FROM (SELECT *, row_number() OVER (PARTITION BY gene, cond ORDER BY membership DESC, cluster) AS k FROM members) WHERE k = 1),
+ratios AS (SELECT a.cluster, round(count(DISTINCT b.cluster) FILTER (b.cluster <> a.cluster) / count(DISTINCT b.cluster), 3) AS divergence FROM best_of a JOIN best_of b ON a.gene = b.gene AND a.cond = 'WT' AND b.cond = 'MUT' GROUP BY a.cluster),
+placed AS (SELECT e.*, o.cluster, o.membership, r.divergence, f.family FROM edges e LEFT JOIN own o USING (target) LEFT JOIN ratios r ON o.cluster = r.cluster JOIN tfs f ON e.tf = f.tf),
 hits AS (SELECT cluster, family, max(r_wt) AS max_importance, count(*) AS n_hits FROM placed WHERE cluster IS NOT NULL AND r_wt > 0.2 GROUP BY ALL),
 hit_ranks AS (SELECT cluster, family, rank() OVER (PARTITION BY cluster ORDER BY max_importance DESC) AS evidence_rank FROM hits),
 joined AS (SELECT p.*, h.evidence_rank, greatest(0.0, -log10(greatest(fdr_diff, 1e-300))) AS lg FROM placed p LEFT JOIN hit_ranks h ON p.cluster = h.cluster AND p.family = h.family),
@@ -100,7 +126,7 @@ def flt12_significant(spark, sf):
 
 @query(f"WITH {EDGES} SELECT tf, target, cond, r, n FROM corr")
 def st4_lag_correlations(spark, sf):
-    return X.lag_correlations(_complete(expression(spark, sf)), regulators(spark, sf))
+    return X.lag_correlations(_complete(spark, sf), regulators(spark, sf))
 
 
 @query(f"""WITH {EDGES} SELECT tf, count(*) AS n, {', '.join(f"count(*) FILTER (edge_class = '{c}') AS n_{c.lower()}" for c in X.CLASSES)},
@@ -227,7 +253,7 @@ def set7_subspace(spark, sf):
 
 @query(f"WITH {SCORED}, best AS (SELECT gene, cluster, membership FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY membership DESC, gene) AS k FROM members WHERE cond = 'WT') WHERE k <= 5), backed AS (SELECT tf AS gene FROM scored WHERE tier <= 5 UNION SELECT target FROM scored WHERE tier <= 5) SELECT gene, cluster, membership FROM best SEMI JOIN backed USING (gene)")
 def gr11_highlights(spark, sf):
-    return N.automatic_highlights(memberships(spark, sf).filter("cond = 'WT'"), _scored(spark, sf), 5, 5)
+    return N.automatic_highlights(_members(spark, sf).filter("cond = 'WT'"), _scored(spark, sf), 5, 5)
 
 
 @query(f"WITH {NET} SELECT target AS node, tf AS a, n AS b FROM (SELECT target, tf, row_number() OVER (PARTITION BY target ORDER BY abs(z_diff) DESC, tf) AS n FROM net) WHERE n <= 2")
@@ -239,7 +265,7 @@ def top3_best_two(spark, sf):
 @query("")
 def st8_permutation_null(spark, sf):
     """ST8, ST9: the null of the difference by relabelling the samples of each time."""
-    return X.permutation_null(_complete(expression(spark, sf)), regulators(spark, sf), rounds=40)
+    return X.permutation_null(_complete(spark, sf), regulators(spark, sf), rounds=40)
 
 
 # profiles and clusters -----------------------------------------------------------------------------------------------------

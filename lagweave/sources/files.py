@@ -89,3 +89,31 @@ def write_lists(df: DataFrame, path: str, by: list[str], gene: str = "gene") ->
 
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
+
+
+def write_venn(parts: DataFrame, path: str) -> None:
+    """Lists of venn() (gene, part): one folder for each part that has genes."""
+    write_lists(parts, path, ["part"])
+
+
+def write_cluster_pairs(wt: DataFrame, mut: DataFrame, pairs: DataFrame, path: str) -> None:
+    """Five lists for each pair of clusters (wt, mut): genes of either (gene, cluster), common ones and those of one side, in folders pair=, list=."""
+    a = pairs.select("wt", "mut").join(wt.select(F.col("cluster").alias("wt"), "gene"), "wt").withColumn("a_", F.lit(True)).distinct()
+    b = pairs.select("wt", "mut").join(mut.select(F.col("cluster").alias("mut"), "gene"), "mut").withColumn("b_", F.lit(True)).distinct()
+    both = a.join(b, ["wt", "mut", "gene"], "full")
+    here, there = F.coalesce("a_", F.lit(False)), F.coalesce("b_", F.lit(False))
+    kinds = [("WT_ClusterGenes", here), ("MUT_ClusterGenes", there), ("Intersection_Genes", here & there), ("WT_Only_Genes", here & ~there), ("MUT_Only_Genes", ~here & there)]
+    lists = both.select(F.format_string("WT_C%02d_MUT_C%02d", "wt", "mut").alias("pair"), "gene", F.explode(F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in kinds]), lambda x: x.isNotNull())).alias("list"))
+    write_lists(lists, path, ["pair", "list"])
+
+
+def write_fates(fates: DataFrame, path: str, cutoff: float = 0.5) -> None:
+    """Core genes of each sub-cluster with its fate (wt_cluster, sub_cluster, label, gene, membership), in folders cluster=, list=."""
+    core = fates.filter(F.col("membership") >= cutoff)
+    write_lists(core.select(F.format_string("WT_C%02d", "wt_cluster").alias("cluster"), F.format_string("SubCluster_%d_%s_Genes", "sub_cluster", "label").alias("list"), "gene"), path, ["cluster", "list"])
+
+
+def write_network(nodes: DataFrame, edges: DataFrame, path: str) -> None:
+    """Node and edge tables of a network program, as CSV in two folders."""
+    write_table(nodes, f"{path}/nodes", ",")
+    write_table(edges, f"{path}/edges", ",")

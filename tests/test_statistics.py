@@ -129,7 +129,7 @@ def test_motif_matches_itself():
 def test_empty_and_null_inputs(spark):
     none = spark.createDataFrame([], "gene string, cond string, time int, rep int, value double")
     tfs = spark.createDataFrame([("a",)], "tf string")
-    assert X.edges(none, tfs, 16).count() == 0
+    assert X.edges(none, tfs).count() == 0
     assert R.venn(none, none).count() == 0
     assert R.false_discovery(spark.createDataFrame([], "p double")).count() == 0
     one = spark.createDataFrame([("a", "WT", t, 0, 1.0) for t in range(3)], "gene string, cond string, time int, rep int, value double")
