@@ -26,7 +26,8 @@ def preferences(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     roles than assistant, whose tokens a trainer masks. A conversation's text is the concatenation of
     its parts in the order of turns; it stays one row per turn, so that no conversation, however long,
     has to fit in one row. Both sides are distinct_turns() tables. A conversation that only one side has
-    is left out; equal sides give a prompt and no completion.
+    is left out; equal sides give a prompt and no completion. Very long turns are rows like any other; columns
+    besides the four do not matter, whatever their names.
     """
     both = chosen.select("conv_id", "turn", "said", F.lit(True).alias("good")).unionByName(rejected.select("conv_id", "turn", "said", F.lit(False).alias("good")))
     turns = both.groupBy("conv_id", "turn").agg(F.max(F.when(F.col("good"), F.col("said"))).alias("chosen"), F.max(F.when(~F.col("good"), F.col("said"))).alias("rejected"))
@@ -41,11 +42,13 @@ def preferences(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
 
 
 def op4_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each conversation as chosen, against itself with the last turn of its neighbour (2k and 2k + 1 are neighbours) in place of its own last turn."""
+    """Each conversation as chosen, against itself with the last turn of its neighbour (2k and 2k + 1 are neighbours) in place of its own last turn.
+
+    A conversation whose neighbour is not there keeps its own last turn on both sides, and so is all prompt; none is left out."""
     turns = distinct_turns(table(spark, sf_dir, "conversations"))
     last = turns.groupBy("conv_id").agg(F.max("turn").alias("last"), F.max_by("said", "turn").alias("end"))
     other = last.select(F.expr("conv_id ^ 1").alias("conv_id"), F.col("end").alias("other"))
-    ends = last.join(other, "conv_id").select("conv_id", "last", "other")
+    ends = last.join(other, "conv_id", "left").select("conv_id", "last", F.coalesce("other", "end").alias("other"))
     swapped = turns.join(ends.select("conv_id", "last"), "conv_id").filter("turn < last").select("conv_id", "turn", "said")
     rejected = swapped.unionByName(ends.select("conv_id", F.col("last").alias("turn"), F.col("other").alias("said")))
     return preferences(turns, rejected)
@@ -56,7 +59,7 @@ WITH turns AS (
   SELECT conv_id, turn, min(row(coalesce(role, 'unknown'), coalesce(text, ''))) AS said FROM conversations
   WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
 last AS (SELECT conv_id, max(turn) AS last, arg_max(said, turn) AS said FROM turns GROUP BY ALL),
-ends AS (SELECT a.conv_id, a.last, b.said FROM last a JOIN last b ON b.conv_id = xor(a.conv_id, 1)),
+ends AS (SELECT a.conv_id, a.last, coalesce(b.said, a.said) AS said FROM last a LEFT JOIN last b ON b.conv_id = xor(a.conv_id, 1)),
 rejected AS (
   SELECT t.conv_id, t.turn, t.said FROM turns t JOIN ends e ON t.conv_id = e.conv_id AND t.turn < e.last
   UNION ALL SELECT conv_id, last, said FROM ends),

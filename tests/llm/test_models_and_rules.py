@@ -243,6 +243,20 @@ def test_preferences(spark):
     assert chat.preferences(make([]), make([])).count() == 0
 
 
+def test_conversations_without_a_neighbour_and_odd_ones(spark, tmp_path):
+    """Against the SQL: missing neighbours, very long turns, nulls, repeated rows, and columns of clashing names."""
+    import duckdb
+    from pyspark.sql import functions as F
+
+    rows = [(0, 0, "user", "q"), (0, 1, "assistant", "a " * 200_000), (1, 0, "user", "q"), (1, 1, "assistant", "b"), (4, 0, "user", "alone"), (4, 1, "assistant", None), (7, 0, None, "x"), (7, 0, None, "x"), (7, 1, "user", ""), (None, 0, "user", "x")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({c: F.lit("z") for c in ("said", "part", "last", "other", "good", "x")}).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = sorted(map(tuple, chat.op4_preferences(spark, str(tmp_path)).select("conv_id", "part", "turn", "role", "rendered", "loss").collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.execute(f"SELECT conv_id, part, turn, role, rendered, loss FROM ({chat.OP4_SQL})").fetchall()
+    assert got == sorted(want) and {r[0] for r in got} == {0, 1, 4, 7} and {r[1] for r in got if r[0] in (4, 7)} == {"prompt"}
+
+
 def test_chat_is_native(spark):
     plan = chat.op4_preferences(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
