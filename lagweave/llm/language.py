@@ -192,7 +192,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """docs' doc_id and held_out with lang_pred, score and languages (of proportion 0.05 or more, largest first).
 
     score is the proportion of lang_pred; a null text, one without letters, or an empty model gives 'und', 0 and none. Rows are
-    judged one by one, so nulls, copies and ties of ids need no rule; equal proportions go to the language first in code points."""
+    judged one by one, whole, a very long text by runs of its words, so nulls, copies and ties of ids need no rule; equal proportions go to the language first in code points."""
     given = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

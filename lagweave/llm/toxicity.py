@@ -237,7 +237,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, tuple[float, float], np.ndar
     """docs' doc_id and held_out with score, predicted, the evidence (tokens n, score of the best segment, total of the significant ones), and segments.
 
     segments holds every significant passage, left to right: start and end in characters of the text (text[start:end] is the
-    passage), score, and p, its chance in clean text of that length. Null and empty texts have no passage and get the score of that. Rows are judged one by one."""
+    passage), score, and p, its chance in clean text of that length. Null and empty texts have no passage and get the score of that. Rows are judged one by one, whole, in time linear in their
+    tokens; a very long text needs room for its own tokens in a task. Copies, repeated rows and other columns need no rule."""
     weight, law, w = model
     given = docs.sparkSession.sparkContext.broadcast(weight)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("p", pa.float64())]))
