@@ -18,7 +18,7 @@ def shared_dir(spark: SparkSession) -> str:
     Where it is unset, a temporary folder serves a local master, whose executors are the driver's own process; any other master is an error."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not re.match(r"local(\[[^,\]]*\])?$", spark.sparkContext.master):
+        if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir is unset: it has to name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="spark-checkpoints-")
         spark.conf.set("spark.checkpoint.dir", folder)
