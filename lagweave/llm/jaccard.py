@@ -528,7 +528,8 @@ def component_ids(docs: DataFrame, extra: list[str]) -> DataFrame:
     linked = link_sets(docs, int(ids.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]))
     lows = linked.join(same, "sid").groupBy("component").agg(F.min("low").alias("component_low"))
     found = linked.join(lows, "component").select("sid", "component_low", F.col("component").cast("string").alias("part"))
-    by_set = same.join(found, "sid", "left").select("sid", F.coalesce("component_low", "low").alias("component_id"), F.coalesce("part", F.hex("sid")).alias("part"))
+    # stored, so that the last join has plain sides, of which Spark splits the part of a set that very many rows have
+    by_set = stored(same.join(found, "sid", "left").select("sid", F.coalesce("component_low", "low").alias("component_id"), F.coalesce("part", F.hex("sid")).alias("part")), "jaccard-by-set")
     return ids.join(by_set, "sid", "left").withColumn("component_id", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
 
 
