@@ -377,7 +377,7 @@ def marked_changes(contrasts: DataFrame, padj: float = 0.05, lfc: float = 1.0) -
 def volcano_points(contrasts: DataFrame, labels: list[str], most_x: float, most_y: float) -> DataFrame:
     """contrast, gene, label (of the listed genes only), x (lfc) and y (-log10 p), both capped."""
     y = F.least(F.lit(most_y), minus_log10(F.col("p")))
-    return contrasts.select("contrast", "gene", F.when(F.col("gene").isin(labels), F.col("gene")).otherwise("").alias("label"), F.greatest(F.lit(-most_x), F.least(F.lit(most_x), F.col("lfc"))).alias("x"), y.alias("y"))
+    return contrasts.select("contrast", "gene", F.when(F.col("gene").isin(labels), F.col("gene")).otherwise("").alias("label"), F.greatest(F.lit(-most_x), F.least(F.lit(most_x), F.col("lfc"))).alias("x"), F.round(y, 6).alias("y"))
 
 
 def first_family(tfs: DataFrame) -> DataFrame:

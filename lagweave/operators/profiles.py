@@ -84,6 +84,7 @@ def regulation_status(df: DataFrame, shape: float = 0.15, amp: float = 0.15, pha
     return df.withColumn("status", status)
 
 
+#: The constants of the fuzzifier below are its published ones (fixed values).
 def fuzzifier(n: int, d: int, compat: bool = False) -> float:
     """Fuzzifier from genes and times, in its published form, clipped to 1.25 to 2; compat keeps 0.1134 outside the exponent."""
     from math import log

@@ -224,6 +224,15 @@ def false_discovery(df: DataFrame, p: str = "p", by: list[str] = (), name: str =
     return df.join(n.select(*by, p, name), [*by, p], "left")
 
 
+def value_rank(df: DataFrame, p: str, order: list[str], name: str = "rank") -> DataFrame:
+    """df with the rank, from 1, of all its rows by a share p and then by other columns, without ordering them in one task: steps of p (64 to each halving) are counted first."""
+    step = F.when(F.col(p) > 0, F.floor(F.log2(p) * 64)).otherwise(-(1 << 20)).cast("int")
+    d = df.withColumn("g_", step)
+    before = d.groupBy("g_").agg(F.count("*").alias("n_")).withColumn("before_", F.sum("n_").over(W.orderBy("g_")) - F.col("n_")).drop("n_")
+    own = F.row_number().over(W.partitionBy("g_").orderBy(p, *order))
+    return d.join(F.broadcast(before), "g_").withColumn(name, F.col("before_") + own).drop("g_", "before_")
+
+
 def digest_rank(df: DataFrame, by: list[str], digest: Column, name: str = "k_") -> DataFrame:
     """df with the rank, from 1, of a row in its group by a hexadecimal digest. Counts of the digests' first three digits come first, so that no task orders a whole group."""
     d = df.withColumn("digest_", digest).withColumn("g_", F.substring("digest_", 1, 3))

@@ -14,6 +14,7 @@ from ..functions.maths import hypergeometric_tail
 from ..functions.strings import gc_fraction, kmers
 from ..storage import stored
 from .network import components
+from .relational import value_rank
 
 
 def regions(genes: DataFrame, bounds: dict[str, tuple[int, int]]) -> DataFrame:
@@ -48,7 +49,7 @@ def enrichment(present: DataFrame, labels: DataFrame, least: int = 5) -> DataFra
     fold = F.when(F.col("neg_ratio") > 0, F.least(F.lit(100.0), F.col("pos_ratio") / F.col("neg_ratio"))).when(F.col("pos_ratio") > 0, 10.0).otherwise(1.0)
     p = hypergeometric_tail(F.col("pos"), F.col("n_pos"), F.col("n_neg"), F.col("pos") + F.col("neg"))
     n = n.withColumns({"fold": F.round(fold, 6), "p": F.round(p, 9)})
-    return n.withColumn("rank", F.row_number().over(W.orderBy("p", "kmer"))).select("kmer", "pos", "neg", "pos_ratio", "neg_ratio", "fold", "p", "rank")
+    return value_rank(n, "p", ["kmer"]).select("kmer", "pos", "neg", "pos_ratio", "neg_ratio", "fold", "p", "rank")
 
 
 def matched_negatives(genes: DataFrame, bins: int = 10, ratio: int = 3, seed: int = 42) -> DataFrame:

@@ -429,7 +429,7 @@ def gr12_matrices(spark, sf):
     return m.groupBy("gene").pivot("contrast", WT_CONTRASTS).agg(F.max("lfc").alias("lfc"), F.max("star").alias("star"))
 
 
-@query(f"""WITH {contrasts_sql()} SELECT contrast, gene, CASE WHEN gene IN ('Brand#11', 'Brand#22') THEN gene ELSE '' END AS label, greatest(-2.0, least(2.0, lfc)) AS x, least(3.0, -log10(greatest(p, 1e-300))) AS y FROM contrasts""")
+@query(f"""WITH {contrasts_sql()} SELECT contrast, gene, CASE WHEN gene IN ('Brand#11', 'Brand#22') THEN gene ELSE '' END AS label, greatest(-2.0, least(2.0, lfc)) AS x, round(least(3.0, -log10(greatest(p, 1e-300))), 6) AS y FROM contrasts""")
 def gr13_volcano_points(spark, sf):
     return N.volcano_points(contrasts(spark, sf), ["Brand#11", "Brand#22"], 2.0, 3.0)
 

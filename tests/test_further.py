@@ -62,6 +62,13 @@ def test_digest_rank_is_the_order_of_digests(spark):
         assert {r.id: r.k_ for r in got if r.positive == flag} == {k: i + 1 for i, (_, k) in enumerate(order)}
 
 
+def test_value_rank(spark):
+    draw = np.random.default_rng(9)
+    rows = [(f"k{k}", float(draw.choice([0.0, 1.0, 0.5, 1e-9, 0.30001, 0.3]))) for k in range(200)]
+    got = R.value_rank(spark.createDataFrame(rows, "kmer string, p double"), "p", ["kmer"]).collect()
+    assert {r.kmer: r["rank"] for r in got} == {k: i + 1 for i, (_, k) in enumerate(sorted((p, k) for k, p in rows))}
+
+
 def test_balanced_split(spark):
     rows = spark.range(400).select(F.col("id"), (F.col("id") % 5 == 0).alias("positive"))
     for fold in range(4):
