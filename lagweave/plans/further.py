@@ -126,10 +126,10 @@ def jn7_divergence_ratios(spark, sf):
 
 
 @query(f"""WITH {E}, means AS (SELECT gene, cond, time, avg(value) AS m FROM expr GROUP BY ALL), base AS (SELECT gene, cond, coalesce(max(m) FILTER (time = 2), arg_min(m, time)) AS b FROM means GROUP BY ALL)
-SELECT gene, round(max(abs(m - b)), 6) AS max_lfc, round(avg(m), 6) AS mean FROM means JOIN base USING (gene, cond) GROUP BY gene""")
+SELECT gene, round(max(abs(m - b)), 9) AS max_lfc, round(avg(m), 6) AS mean FROM means JOIN base USING (gene, cond) GROUP BY gene""")
 def agg2_control_time(spark, sf):
     """Largest change against a control time, or the first time where a gene has no value then."""
-    return R.max_fold(expression(spark, sf), control=2).select("gene", F.round("max_lfc", 6).alias("max_lfc"), F.round("mean", 6).alias("mean"))
+    return R.max_fold(expression(spark, sf), control=2).select("gene", F.round("max_lfc", 9).alias("max_lfc"), F.round("mean", 6).alias("mean"))
 
 
 @query("""WITH w AS (SELECT p_brand AS family, p_name AS kmer, max(p_size) / 10 AS weight FROM part GROUP BY ALL)

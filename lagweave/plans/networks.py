@@ -323,8 +323,8 @@ def ts9_status(spark, sf):
     return P.regulation_status(d, shape=0.6).select("pair", "status")
 
 
-@query(f"WITH {expression_sql()}, prof AS (SELECT gene, cond, time, avg(value) AS v FROM expr GROUP BY ALL) SELECT w.gene, w.time, round(w.v - m.v, 6) AS divergence FROM prof w JOIN prof m ON w.gene = m.gene AND w.time = m.time AND w.cond = 'WT' AND m.cond = 'MUT'")
+@query(f"WITH {expression_sql()}, prof AS (SELECT gene, cond, time, avg(value) AS v FROM expr GROUP BY ALL) SELECT w.gene, w.time, round(w.v - m.v, 9) AS divergence FROM prof w JOIN prof m ON w.gene = m.gene AND w.time = m.time AND w.cond = 'WT' AND m.cond = 'MUT'")
 def st24_expression_divergence(spark, sf):
     p = P.profiles(expression(spark, sf))
     side = lambda c, n: p.filter(F.col("cond") == c).select("gene", "time", F.col("value").alias(n))
-    return side("WT", "w").join(side("MUT", "m"), ["gene", "time"]).select("gene", "time", F.round(F.col("w") - F.col("m"), 6).alias("divergence"))
+    return side("WT", "w").join(side("MUT", "m"), ["gene", "time"]).select("gene", "time", F.round(F.col("w") - F.col("m"), 9).alias("divergence"))

@@ -110,10 +110,10 @@ def flt7_varying(spark, sf):
 @query(f"""WITH {E}, means AS (SELECT gene, cond, time, avg(value) AS m FROM expr GROUP BY ALL),
 d AS (SELECT gene, m, abs(m - first_value(m) OVER (PARTITION BY gene, cond ORDER BY time)) AS d FROM means),
 pool AS (SELECT gene, max(d) AS max_lfc, avg(m) AS mean FROM d GROUP BY gene)
-SELECT gene, round(max_lfc, 6) AS max_lfc, round(mean, 6) AS mean FROM pool WHERE max_lfc < 0.8 AND mean >= 1 AND gene NOT IN (SELECT DISTINCT p_brand FROM part WHERE regexp_matches(p_brand, '[13]$'))""")
+SELECT gene, round(max_lfc, 9) AS max_lfc, round(mean, 6) AS mean FROM pool WHERE max_lfc < 0.8 AND mean >= 1 AND gene NOT IN (SELECT DISTINCT p_brand FROM part WHERE regexp_matches(p_brand, '[13]$'))""")
 def flt10_nonresponsive(spark, sf):
     out = R.nonresponsive(R.max_fold(expression(spark, sf)), regulators(spark, sf).select(F.col("tf").alias("gene")), 0.8)
-    return out.select("gene", F.round("max_lfc", 6).alias("max_lfc"), F.round("mean", 6).alias("mean"))
+    return out.select("gene", F.round("max_lfc", 9).alias("max_lfc"), F.round("mean", 6).alias("mean"))
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE lower(p_name) LIKE '%red%' OR lower(p_type) LIKE '%brass%'")
@@ -209,9 +209,9 @@ def agg1_replicate_mean(spark, sf):
     return profiles(expression(spark, sf)).withColumn("value", F.round("value", 6))
 
 
-@query(f"WITH {E}, means AS (SELECT gene, cond, time, avg(value) AS m FROM expr GROUP BY ALL), d AS (SELECT gene, m, abs(m - first_value(m) OVER (PARTITION BY gene, cond ORDER BY time)) AS d FROM means) SELECT gene, round(max(d), 6) AS max_lfc, round(avg(m), 6) AS mean FROM d GROUP BY gene")
+@query(f"WITH {E}, means AS (SELECT gene, cond, time, avg(value) AS m FROM expr GROUP BY ALL), d AS (SELECT gene, m, abs(m - first_value(m) OVER (PARTITION BY gene, cond ORDER BY time)) AS d FROM means) SELECT gene, round(max(d), 9) AS max_lfc, round(avg(m), 6) AS mean FROM d GROUP BY gene")
 def agg2_max_fold(spark, sf):
-    return R.max_fold(expression(spark, sf)).select("gene", F.round("max_lfc", 6).alias("max_lfc"), F.round("mean", 6).alias("mean"))
+    return R.max_fold(expression(spark, sf)).select("gene", F.round("max_lfc", 9).alias("max_lfc"), F.round("mean", 6).alias("mean"))
 
 
 @query(f"WITH {C} SELECT DISTINCT gene FROM contrasts WHERE p < 0.2 AND abs(lfc) > 0.1")
