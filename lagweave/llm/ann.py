@@ -16,7 +16,7 @@ from .common import stored, table
 #: Codebooks, codewords of each, width of the beam, vectors that fit the codebooks (a documented bound), Lloyd rounds of each.
 BOOKS, WORDS, BEAM, SAMPLE, ROUNDS = 16, 256, 4, 16_384, 8
 #: Vectors of an index block, index blocks that a task looks through for a block of queries, at most, and queries of a block.
-BLOCK, TOGETHER, QUERIES = 4096, 4, 2048
+BLOCK, TOGETHER, QUERIES = 4096, 16, 512
 #: Candidates of a query, of all blocks, that are scored exactly; queries that are scored exactly at a time.
 RERANK, EXACT = 256, 256
 
