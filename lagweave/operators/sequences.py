@@ -39,8 +39,8 @@ def with_gc(sequences: DataFrame) -> DataFrame:
     return sequences.withColumn("gc", gc_fraction(F.col("seq")))
 
 
-def enrichment(present: DataFrame, labels: DataFrame, least: int = 5) -> DataFrame:
-    """kmer, pos, neg, pos_ratio, neg_ratio, fold, p, rank: one-sided exact test of each k-mer among positives (gene, positive).
+def enrichment(present: DataFrame, labels: DataFrame, least: int = 5, ranked: bool = True) -> DataFrame:
+    """kmer, pos, neg, pos_ratio, neg_ratio, fold, p and, if ranked, rank: one-sided exact test of each k-mer among positives (gene, positive).
 
     fold is the quotient of the rounded ratios: 10 where only positives have it, 1 where none has, at most 100."""
     total = labels.agg(F.sum(F.col("positive").cast("long")).alias("n_pos"), F.sum((~F.col("positive")).cast("long")).alias("n_neg"))
@@ -49,7 +49,8 @@ def enrichment(present: DataFrame, labels: DataFrame, least: int = 5) -> DataFra
     fold = F.when(F.col("neg_ratio") > 0, F.least(F.lit(100.0), F.col("pos_ratio") / F.col("neg_ratio"))).when(F.col("pos_ratio") > 0, 10.0).otherwise(1.0)
     p = hypergeometric_tail(F.col("pos"), F.col("n_pos"), F.col("n_neg"), F.col("pos") + F.col("neg"))
     n = n.withColumns({"fold": F.round(fold, 6), "p": F.round(p, 9)})
-    return value_rank(n, "p", ["kmer"]).select("kmer", "pos", "neg", "pos_ratio", "neg_ratio", "fold", "p", "rank")
+    out = n.select("kmer", "pos", "neg", "pos_ratio", "neg_ratio", "fold", "p")
+    return value_rank(stored(out, "enrichment"), "p", ["kmer"]) if ranked else out
 
 
 def matched_negatives(genes: DataFrame, bins: int = 10, ratio: int = 3, seed: int = 42) -> DataFrame:

@@ -59,7 +59,7 @@ r AS (SELECT n.*, np, nn, round(pos / np, 4) AS pos_ratio, round(neg / nn, 4) AS
 SELECT kmer, pos, neg, pos_ratio, neg_ratio, round(CASE WHEN neg_ratio > 0 THEN least(100.0, pos_ratio / neg_ratio) WHEN pos_ratio > 0 THEN 10.0 ELSE 1.0 END, 6) AS fold, round(p, 6) AS p FROM r""")
 def st14_kmer_enrichment(spark, sf):
     s = _seqs(spark, sf)
-    return Q.enrichment(Q.presence(s, 4), s.select("gene", "positive")).drop("rank").withColumn("p", F.round("p", 6))
+    return Q.enrichment(Q.presence(s, 4), s.select("gene", "positive"), ranked=False).withColumn("p", F.round("p", 6))
 
 
 @query(f"WITH {SEQ} SELECT gene, round(length(regexp_replace(seq, '[^GCgc]', '', 'g')) / length(seq), 6) AS gc, reverse(translate(seq, 'ACGT', 'TGCA')) AS rc FROM seqs")
