@@ -221,6 +221,10 @@ def st17_permutation_auc(spark, sf):
     return L.empirical(null.join(F.broadcast(L.auc(s).withColumnRenamed("auc", "real"))), F.col("real"), 20)
 
 
+#: The name that the query had first.
+QUERIES["ml6_permutation_auc"] = st17_permutation_auc
+
+
 @query()
 def st3_principal_components(spark, sf):
     return L.principal_components(table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.transform("embedding", lambda x: x.cast("double")).alias("v")))
