@@ -27,7 +27,8 @@ def bucket_array(text: Column, runs: int = RUNS, buckets: int = BUCKETS) -> Colu
     parts = [F.transform(own, of)]
     for k in range(2, runs + 1):
         at = F.when(F.size(own) >= k, F.sequence(F.lit(1), F.size(own) - (k - 1))).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(at, lambda i, k=k: of(F.array_join(F.slice(own, i, k), " "))))
+        run = F.transform(at, lambda i: F.array_join(F.slice(own, i, k), " "))  # noqa: B023 (called at once)
+        parts.append(F.transform(run, of))
     return parts[0] if runs == 1 else F.concat(*parts)
 
 
