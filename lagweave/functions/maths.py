@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import pi
+from math import log, pi
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,8 +32,23 @@ def t_two_sided(t: Column, df: int | Column) -> Column:
     total = F.aggregate(ks, start, add, lambda s: s["total"])
     sine = F.sqrt(F.greatest(F.lit(0.0), 1 - c2))
     angle = F.atan(F.abs(t) / F.sqrt(n))
+    tail = F.exp(log_t_two_sided(t, n))
     inside = F.when(odd == 0, sine * total).when(n == 1, 2 / pi * angle).otherwise(2 / pi * (angle + sine * F.sqrt(c2) * total))
-    return F.when(n < 1, 1.0).otherwise(F.greatest(F.lit(0.0), 1 - inside))
+    return F.when(n < 1, 1.0).when(c2 < 0.5, tail).otherwise(F.greatest(F.lit(0.0), 1 - inside))
+
+
+def log_t_two_sided(t: Column, df: Column) -> Column:
+    """ln of the two-sided p of Student's t, for t * t above df: the power series of the incomplete beta function in df / (df + t * t), which holds in any tail."""
+    x, a = df / (df + t * t), df / 2.0
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+
+    def add(s: Column, k: Column) -> Column:
+        term = s["term"] * x * (a + k - 0.5) / (a + k)
+        return F.struct(term.alias("term"), (s["total"] + term).alias("total"))
+
+    total = F.aggregate(F.sequence(F.lit(1), F.lit(60)), start, add, lambda s: s["total"])
+    log_beta = log_factorial(a - 1) + log(pi) / 2 - log_factorial(a - 0.5)
+    return a * F.log(x) + F.log1p(-x) / 2 - F.log(a) - log_beta + F.log(total)
 
 
 def t_two_sided_sql(t: str, df: int) -> str:

@@ -80,10 +80,10 @@ def edges(values: DataFrame, tfs: DataFrame, params: EdgeParams = EdgeParams())
     The p of a correlation has n - 2 degrees of freedom, by the pair's own n. The p of the difference is the two-sided t of the z (a closed form in place of the permutation null, see permutation_null)."""
     r = lag_correlations(values, tfs, params.lag)
     wide = r.groupBy("tf", "target").agg(*[F.max(F.when(F.col("cond") == c, F.col(v))).alias(f"{v}_{c.lower()}") for c in ("WT", "MUT") for v in ("r", "n")])
-    e = wide.withColumns({f"p_{c}": F.round(correlation_p(F.col(f"r_{c}"), F.col(f"n_{c}") - 2), 9) for c in ("wt", "mut")})
+    e = wide.withColumns({f"p_{c}": correlation_p(F.col(f"r_{c}"), F.col(f"n_{c}") - 2) for c in ("wt", "mut")})
     z = F.coalesce(fisher_z(F.col("r_wt"), F.col("n_wt"), F.col("r_mut"), F.col("n_mut")), F.lit(0.0))
-    e = e.withColumn("z_diff", F.round(z, 6))
-    e = e.withColumn("p_diff", F.round(normal_two_sided(F.col("z_diff")), 9))
+    e = e.withColumn("z_diff", z)
+    e = e.withColumn("p_diff", normal_two_sided(F.col("z_diff")))
     if not params.self_pairs_count:
         e = e.filter("tf <> target")
     if params.least_r:
@@ -91,7 +91,7 @@ def edges(values: DataFrame, tfs: DataFrame, params: EdgeParams = EdgeParams())
         e = e.withColumns({p: F.when(strong, F.col(p)) for p in ("p_wt", "p_mut", "p_diff")})
     e, sides = stored(e, "edge-tests"), ("wt", "mut", "diff")
     tests = e.select("tf", "target", F.explode(F.create_map(*[x for s in sides for x in (F.lit(s), F.col(f"p_{s}"))])).alias("side", "p"))
-    fdr = false_discovery(tests, by=["side"]).groupBy("tf", "target").agg(*[F.round(F.coalesce(F.max(F.when(F.col("side") == s, F.col("fdr"))), F.lit(1.0)), 6).alias(f"fdr_{s}") for s in sides])
+    fdr = false_discovery(tests, by=["side"]).groupBy("tf", "target").agg(*[F.coalesce(F.max(F.when(F.col("side") == s, F.col("fdr"))), F.lit(1.0)).alias(f"fdr_{s}") for s in sides])
     e = e.join(fdr, ["tf", "target"])
     sig = lambda c, t: F.col(c) < t
     kind = edge_class(sig("fdr_wt", params.fdr), sig("fdr_mut", params.fdr), sig("fdr_diff", params.fdr_diff), sig("fdr_mut", params.fdr_loose))
@@ -123,6 +123,11 @@ def normal_two_sided_sql(z: str) -> str:
     return f"{t} * exp(-{x} * {x} + {total})"
 
 
+def shown(edges_: DataFrame) -> DataFrame:
+    """An edge table for reading: p to nine digits, z and FDR to six. Nothing should be computed from it."""
+    return edges_.withColumns({c: F.round(c, 9 if c.startswith("p_") else 6) for c in edges_.columns if c.split("_")[0] in ("p", "fdr", "z")})
+
+
 def output_mode(edges_: DataFrame, mode: str, fdr: float = 0.05) -> DataFrame:
     """full, classified (any class but NS) or significant (in WT or MUT)."""
     if mode == "classified":

@@ -67,14 +67,13 @@ def flt13_target_filters(spark, sf):
 LEAST_R = (
     EDGES.replace("zed AS (", "zed_ AS (").replace("b1_u AS", "zed AS (SELECT * REPLACE (CASE WHEN strong THEN p_wt END AS p_wt, CASE WHEN strong THEN p_mut END AS p_mut, CASE WHEN strong THEN p_diff END AS p_diff) FROM (SELECT *, greatest(abs(r_wt), abs(r_mut)) >= 0.3 AS strong FROM zed_)),\nb1_u AS")
     .replace("JOIN b1 USING (p_wt) JOIN b2 USING (p_mut) JOIN b3 USING (p_diff)", "LEFT JOIN b1 USING (p_wt) LEFT JOIN b2 USING (p_mut) LEFT JOIN b3 USING (p_diff)")
-    .replace("round(fdr_wt, 6)", "round(coalesce(fdr_wt, 1.0), 6)").replace("round(fdr_mut, 6)", "round(coalesce(fdr_mut, 1.0), 6)").replace("round(fdr_diff, 6)", "round(coalesce(fdr_diff, 1.0), 6)")
 )
 
 
-@query(f"WITH {LEAST_R} SELECT tf, target, r_wt, r_mut, fdr_wt, fdr_mut, fdr_diff, edge_class FROM edges")
+@query(f"WITH {LEAST_R} SELECT tf, target, r_wt, r_mut, round(fdr_wt, 6) AS fdr_wt, round(fdr_mut, 6) AS fdr_mut, round(fdr_diff, 6) AS fdr_diff, edge_class FROM edges")
 def flt15_strong_pairs(spark, sf):
     """Only pairs with |r| of 0.3 or more in a condition are tested; the others have an FDR of 1."""
-    return _edges(spark, sf, X.EdgeParams(least_r=0.3)).select("tf", "target", "r_wt", "r_mut", "fdr_wt", "fdr_mut", "fdr_diff", "edge_class")
+    return X.shown(_edges(spark, sf, X.EdgeParams(least_r=0.3))).select("tf", "target", "r_wt", "r_mut", "fdr_wt", "fdr_mut", "fdr_diff", "edge_class")
 
 
 @query(f"WITH {EDGES} SELECT tf, target, edge_class FROM edges WHERE edge_class <> 'NS'")

@@ -88,11 +88,11 @@ sums AS (SELECT a.gene AS tf, b.gene AS target, a.cond, count(*) AS n, sum(a.rx)
   FROM ranks a JOIN tfs ON a.gene = tfs.tf JOIN ranks b USING (cond, rep, time) GROUP BY ALL),
 corr AS (SELECT tf, target, cond, n, round((n * sxy - sx * sy) / nullif(sqrt((n * sxx - sx * sx) * (n * syy - sy * sy)), 0), 9) AS r FROM sums),
 wide AS (SELECT tf, target, max(r) FILTER (cond = 'WT') AS r_wt, max(r) FILTER (cond = 'MUT') AS r_mut, max(n) AS n FROM corr GROUP BY ALL),
-tested AS (SELECT *, round({correlation_p_sql('r_wt', DF)}, 9) AS p_wt, round({correlation_p_sql('r_mut', DF)}, 9) AS p_mut,
-  round(coalesce((atanh(greatest(-0.9999, least(0.9999, r_wt))) - atanh(greatest(-0.9999, least(0.9999, r_mut)))) / sqrt(2.0 / greatest(1, n - 3)), 0.0), 6) AS z_diff FROM wide),
-zed AS (SELECT *, round({X.normal_two_sided_sql('z_diff')}, 9) AS p_diff FROM tested),
+tested AS (SELECT *, {correlation_p_sql('r_wt', DF)} AS p_wt, {correlation_p_sql('r_mut', DF)} AS p_mut,
+  coalesce((atanh(greatest(-0.9999, least(0.9999, r_wt))) - atanh(greatest(-0.9999, least(0.9999, r_mut)))) / sqrt(2.0 / greatest(1, n - 3)), 0.0) AS z_diff FROM wide),
+zed AS (SELECT *, {X.normal_two_sided_sql('z_diff')} AS p_diff FROM tested),
 {_bh('b1', 'zed', 'p_wt', 'fdr_wt')}, {_bh('b2', 'zed', 'p_mut', 'fdr_mut')}, {_bh('b3', 'zed', 'p_diff', 'fdr_diff')},
-rated AS (SELECT tf, target, r_wt, r_mut, p_wt, p_mut, round(fdr_wt, 6) AS fdr_wt, round(fdr_mut, 6) AS fdr_mut, z_diff, p_diff, round(fdr_diff, 6) AS fdr_diff
+rated AS (SELECT tf, target, r_wt, r_mut, p_wt, p_mut, coalesce(fdr_wt, 1.0) AS fdr_wt, coalesce(fdr_mut, 1.0) AS fdr_mut, z_diff, p_diff, coalesce(fdr_diff, 1.0) AS fdr_diff
   FROM zed JOIN b1 USING (p_wt) JOIN b2 USING (p_mut) JOIN b3 USING (p_diff) WHERE tf <> target),
 flags AS (SELECT *, fdr_wt < 0.05 AS w, fdr_mut < 0.05 AS m, fdr_diff < 0.05 AS d, fdr_mut < 0.1 AS l FROM rated),
 edges AS (SELECT tf, target, r_wt, r_mut, p_wt, p_mut, fdr_wt, fdr_mut, z_diff, p_diff, fdr_diff,
@@ -113,10 +113,13 @@ scored AS (SELECT *, round((s1 + CASE WHEN w2 > 0 THEN 1.0 ELSE 0.0 END * s2 + C
   CASE WHEN edge_class IN ('Lost', 'Gained', 'Rewired') AND s2 > 0.5 AND (worst IS NULL OR s3 > 0) THEN 1 WHEN edge_class IN ('Lost', 'Gained', 'Rewired') AND s2 > 0.5 THEN 2 WHEN edge_class IN ('Lost', 'Gained', 'Rewired') THEN 3 WHEN edge_class = 'Conserved' AND s2 < 0.2 THEN 4 ELSE 5 END AS tier FROM parts)"""
 
 
-@query(f"WITH {EDGES} SELECT * FROM edges")
+SHOWN = ", ".join(f"round({c}, {n}) AS {c}" for c, n in (("p_wt", 9), ("p_mut", 9), ("p_diff", 9), ("z_diff", 6), ("fdr_wt", 6), ("fdr_mut", 6), ("fdr_diff", 6)))
+
+
+@query(f"WITH {EDGES} SELECT * REPLACE ({SHOWN}) FROM edges")
 def edges_lag1(spark, sf):
     """ST4-ST7, ST10, ST11: lag-1 differential co-expression edges."""
-    return _edges(spark, sf)
+    return X.shown(_edges(spark, sf))
 
 
 @query(f"WITH {EDGES} SELECT tf, target, edge_class FROM edges WHERE fdr_wt < 0.3 OR fdr_mut < 0.3")

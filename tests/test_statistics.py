@@ -134,3 +134,21 @@ def test_empty_and_null_inputs(spark):
     assert R.false_discovery(spark.createDataFrame([], "p double")).count() == 0
     one = spark.createDataFrame([("a", "WT", t, 0, 1.0) for t in range(3)], "gene string, cond string, time int, rep int, value double")
     assert X.lag_correlations(one, tfs).first().r is None  # constant
+
+
+def test_tails_of_t_in_any_depth(spark):
+    """Against the closed sums in exact fractions: for even degrees of freedom p is a finite sum."""
+    from decimal import Decimal, getcontext
+
+    from lagweave.functions.maths import t_two_sided
+
+    getcontext().prec = 400
+    cases = [(t, n) for n in (4, 16, 34) for t in (0.5, 3.0, 9.0, 60.0, 4e4, 1e9)]
+    rows = spark.createDataFrame([(float(t), n) for t, n in cases], "t double, n int").select("t", "n", t_two_sided(F.col("t"), F.col("n")).alias("p")).collect()
+    for r in rows:
+        c2 = Decimal(r.n) / (Decimal(r.n) + Decimal(r.t) ** 2)
+        term, total = Decimal(1), Decimal(1)
+        for k in range(1, r.n // 2):
+            term = term * c2 * (2 * k - 1) / (2 * k)
+            total += term
+        assert r.p == pytest.approx(float(1 - (1 - c2).sqrt() * total), rel=1e-6), (r.t, r.n)
