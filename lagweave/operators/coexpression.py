@@ -124,8 +124,8 @@ def normal_two_sided_sql(z: str) -> str:
 
 
 def shown(edges_: DataFrame) -> DataFrame:
-    """An edge table for reading: p to nine digits, z and FDR to six. Nothing should be computed from it."""
-    return edges_.withColumns({c: F.round(c, 9 if c.startswith("p_") else 6) for c in edges_.columns if c.split("_")[0] in ("p", "fdr", "z")})
+    """A table of tests for reading: p to nine digits, z and FDR to six. Nothing should be computed from it."""
+    return edges_.withColumns({c: F.round(c, 9 if c.split("_")[0] == "p" else 6) for c in edges_.columns if c.split("_")[0] in ("p", "fdr", "z")})
 
 
 def output_mode(edges_: DataFrame, mode: str, fdr: float = 0.05) -> DataFrame:

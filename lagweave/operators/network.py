@@ -63,8 +63,8 @@ def class_enrichment(edges: DataFrame, key: str, cluster: str = "cluster", least
     n = edges.filter(F.col(cluster).isNotNull()).groupBy(key, cluster, "edge_class").agg(F.count("*").alias("q"))
     total = lambda *c: F.sum("q").over(W.partitionBy(*c))
     t = n.withColumns({"m": total(key, "edge_class"), "k": total(cluster, "edge_class"), "all": total("edge_class")}).filter(F.col("q") >= least)
-    t = t.withColumn("p", F.round(hypergeometric_tail(F.col("q"), F.col("m"), F.col("all") - F.col("m"), F.col("k")), 9))
-    return false_discovery(t, "p").withColumn("fdr", F.round("fdr", 6))
+    t = t.withColumn("p", hypergeometric_tail(F.col("q"), F.col("m"), F.col("all") - F.col("m"), F.col("k")))
+    return false_discovery(t, "p")
 
 
 def class_fisher(edges: DataFrame, key: str, cluster: str = "cluster", least: int = 5) -> DataFrame:
@@ -74,9 +74,8 @@ def class_fisher(edges: DataFrame, key: str, cluster: str = "cluster", least: in
     t = n.withColumn("b", F.sum("a").over(W.partitionBy(key, "edge_class")) - F.col("a")).withColumn("c", F.sum("a").over(W.partitionBy(cluster, "edge_class")) - F.col("a"))
     t = t.withColumn("d", F.sum("a").over(every) - F.col("a") - F.col("b") - F.col("c")).filter(F.col("a") >= least)
     odds = F.try_divide(F.col("a") * F.col("d"), F.col("b") * F.col("c"))
-    t = t.withColumn("odds", F.round(odds, 6)).withColumn("log2_odds", F.round(F.log2(F.greatest(odds, F.lit(1e-10))), 6)).withColumn("p", F.round(fisher_two_sided(*(F.col(x) for x in "abcd")), 9))
-    t = false_discovery(t, "p").withColumn("fdr", F.round("fdr", 6))
-    return t.withColumn("score", F.round(minus_log10(F.col("fdr"), 10.0), 6)).withColumn("mark", stars(F.col("fdr")))
+    t = t.withColumn("odds", F.round(odds, 6)).withColumn("log2_odds", F.round(F.log2(F.greatest(odds, F.lit(1e-10))), 6)).withColumn("p", fisher_two_sided(*(F.col(x) for x in "abcd")))
+    return false_discovery(t, "p").withColumn("score", minus_log10(F.col("fdr"), 10.0)).withColumn("mark", stars(F.col("fdr")))
 
 
 def conditional_odds(tests: DataFrame) -> DataFrame:

@@ -444,17 +444,17 @@ def _real(spark, sf):
 
 @query(f"""WITH {REAL}, t AS (SELECT tf, cluster, edge_class, count(*) AS q FROM kinds GROUP BY ALL),
 g AS (SELECT *, CAST(sum(q) OVER (PARTITION BY tf, edge_class) AS BIGINT) AS m, CAST(sum(q) OVER (PARTITION BY cluster, edge_class) AS BIGINT) AS k, CAST(sum(q) OVER (PARTITION BY edge_class) AS BIGINT) AS every FROM t),
-h AS (SELECT *, round({hypergeometric_tail_sql('q', 'm', '(every - m)', 'k')}, 9) AS p FROM g), {_bh('bh', 'h', 'p', 'fdr')}
-SELECT tf, cluster, edge_class, q, m, k, p, round(fdr, 6) AS fdr FROM h JOIN bh USING (p)""")
+h AS (SELECT *, {hypergeometric_tail_sql('q', 'm', '(every - m)', 'k')} AS p FROM g), {_bh('bh', 'h', 'p', 'fdr')}
+SELECT tf, cluster, edge_class, q, m, k, round(p, 9) AS p, round(fdr, 6) AS fdr FROM h JOIN bh USING (p)""")
 def st12_enrichment_of_classes(spark, sf):
-    return N.class_enrichment(_real(spark, sf), "tf").select("tf", "cluster", "edge_class", "q", "m", "k", "p", "fdr")
+    return X.shown(N.class_enrichment(_real(spark, sf), "tf")).select("tf", "cluster", "edge_class", "q", "m", "k", "p", "fdr")
 
 
 @query(f"""WITH {REAL}, t AS (SELECT family, cluster, edge_class, count(*) AS a FROM kinds GROUP BY ALL),
 g AS (SELECT *, CAST(sum(a) OVER (PARTITION BY family, edge_class) AS BIGINT) - a AS b, CAST(sum(a) OVER (PARTITION BY cluster, edge_class) AS BIGINT) - a AS c, CAST(sum(a) OVER (PARTITION BY edge_class) AS BIGINT) AS every FROM t),
-f AS (SELECT *, every - a - b - c AS d FROM g WHERE a >= 2), h AS (SELECT *, round({fisher_two_sided_sql('a', 'b', 'c', 'd')}, 9) AS p FROM f) SELECT family, cluster, edge_class, a, b, c, d, p FROM h""")
+f AS (SELECT *, every - a - b - c AS d FROM g WHERE a >= 2), h AS (SELECT *, {fisher_two_sided_sql('a', 'b', 'c', 'd')} AS p FROM f) SELECT family, cluster, edge_class, a, b, c, d, round(p, 9) AS p FROM h""")
 def st13_fisher_of_classes(spark, sf):
-    return N.class_fisher(_real(spark, sf), "family", least=2).select("family", "cluster", "edge_class", "a", "b", "c", "d", "p")
+    return X.shown(N.class_fisher(_real(spark, sf), "family", least=2)).select("family", "cluster", "edge_class", "a", "b", "c", "d", "p")
 
 
 @query(f"WITH {EDGES}, s AS (SELECT tf AS node, 1 AS o, edge_class FROM edges UNION ALL SELECT target, 0, edge_class FROM edges) SELECT node, CAST(sum(o) AS BIGINT) AS n_out, CAST(sum(1 - o) AS BIGINT) AS n_in, count(*) AS degree, count(*) FILTER (edge_class = 'Conserved') AS n_conserved, count(*) FILTER (edge_class = 'Lost') AS n_lost, count(*) FILTER (edge_class = 'Gained') AS n_gained, count(*) FILTER (edge_class = 'Rewired') AS n_rewired FROM s GROUP BY node")

@@ -155,19 +155,19 @@ def _kinds(spark, sf):
 
 @query(f"""WITH {ENRICHED}, t AS (SELECT tf, cluster, edge_class, count(*) AS q FROM kinds GROUP BY ALL),
 g AS (SELECT *, CAST(sum(q) OVER (PARTITION BY tf, edge_class) AS BIGINT) AS m, CAST(sum(q) OVER (PARTITION BY cluster, edge_class) AS BIGINT) AS k, CAST(sum(q) OVER (PARTITION BY edge_class) AS BIGINT) AS every FROM t),
-h AS (SELECT *, round({hypergeometric_tail_sql('q', 'm', '(every - m)', 'k')}, 9) AS p FROM g), {_bh('bh', 'h', 'p', 'fdr')}
-SELECT tf, cluster, edge_class, q, m, k, p, round(fdr, 6) AS fdr FROM h JOIN bh USING (p)""")
+h AS (SELECT *, {hypergeometric_tail_sql('q', 'm', '(every - m)', 'k')} AS p FROM g), {_bh('bh', 'h', 'p', 'fdr')}
+SELECT tf, cluster, edge_class, q, m, k, round(p, 9) AS p, round(fdr, 6) AS fdr FROM h JOIN bh USING (p)""")
 def st12_hub_enrichment(spark, sf):
-    return N.class_enrichment(_kinds(spark, sf), "tf").select("tf", "cluster", "edge_class", "q", "m", "k", "p", "fdr")
+    return X.shown(N.class_enrichment(_kinds(spark, sf), "tf")).select("tf", "cluster", "edge_class", "q", "m", "k", "p", "fdr")
 
 
 @query(f"""WITH {ENRICHED}, t AS (SELECT family, cluster, edge_class, count(*) AS a FROM kinds GROUP BY ALL),
 g AS (SELECT *, CAST(sum(a) OVER (PARTITION BY family, edge_class) AS BIGINT) - a AS b, CAST(sum(a) OVER (PARTITION BY cluster, edge_class) AS BIGINT) - a AS c, CAST(sum(a) OVER (PARTITION BY edge_class) AS BIGINT) AS every FROM t),
 f AS (SELECT *, every - a - b - c AS d FROM g WHERE a >= 2),
-h AS (SELECT *, round({fisher_two_sided_sql('a', 'b', 'c', 'd')}, 9) AS p, round(CASE WHEN b * c > 0 THEN a * d / (b * c) END, 6) AS odds FROM f), {_bh('bh', 'h', 'p', 'fdr')}
-SELECT family, cluster, edge_class, a, b, c, d, odds, p, round(fdr, 6) AS fdr, CASE WHEN round(fdr, 6) < 0.01 THEN '**' WHEN round(fdr, 6) < 0.05 THEN '*' ELSE '' END AS mark FROM h JOIN bh USING (p)""")
+h AS (SELECT *, {fisher_two_sided_sql('a', 'b', 'c', 'd')} AS p, round(CASE WHEN b * c > 0 THEN a * d / (b * c) END, 6) AS odds FROM f), {_bh('bh', 'h', 'p', 'fdr')}
+SELECT family, cluster, edge_class, a, b, c, d, odds, round(p, 9) AS p, round(fdr, 6) AS fdr, CASE WHEN fdr < 0.01 THEN '**' WHEN fdr < 0.05 THEN '*' ELSE '' END AS mark FROM h JOIN bh USING (p)""")
 def st13_family_fisher(spark, sf):
-    return N.class_fisher(_kinds(spark, sf), "family", least=2).select("family", "cluster", "edge_class", "a", "b", "c", "d", "odds", "p", "fdr", "mark")
+    return X.shown(N.class_fisher(_kinds(spark, sf), "family", least=2)).select("family", "cluster", "edge_class", "a", "b", "c", "d", "odds", "p", "fdr", "mark")
 
 
 @query("")
