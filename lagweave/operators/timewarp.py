@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -14,60 +13,114 @@ from pyspark.sql import functions as F
 
 
 def natural_spline(x: np.ndarray, y: np.ndarray, grid: np.ndarray) -> np.ndarray:
-    """Values of the natural cubic spline through (x, y)."""
+    """Values of the natural cubic spline through (x, y); y may hold many curves, one in each row."""
     n, h = len(x), np.diff(x)
     if n < 3:
-        return np.interp(grid, x, y)
-    a, rhs = np.eye(n), np.zeros(n)
+        return np.apply_along_axis(lambda v: np.interp(grid, x, v), -1, y)
+    a, rhs = np.eye(n), np.zeros_like(y, float)
     for i in range(1, n - 1):
         a[i, i - 1 : i + 2] = h[i - 1], 2 * (h[i - 1] + h[i]), h[i]
-        rhs[i] = 6 * ((y[i + 1] - y[i]) / h[i] - (y[i] - y[i - 1]) / h[i - 1])
-    m = np.linalg.solve(a, rhs)
+        rhs[..., i] = 6 * ((y[..., i + 1] - y[..., i]) / h[i] - (y[..., i] - y[..., i - 1]) / h[i - 1])
+    m = np.linalg.solve(a, rhs.T).T
     k = np.clip(np.searchsorted(x, grid, side="right") - 1, 0, n - 2)
     t, u = x[k + 1] - grid, grid - x[k]
-    return (m[k] * t**3 + m[k + 1] * u**3) / (6 * h[k]) + (y[k] / h[k] - m[k] * h[k] / 6) * t + (y[k + 1] / h[k] - m[k + 1] * h[k] / 6) * u
+    cubes = (m[..., k] * t**3 + m[..., k + 1] * u**3) / (6 * h[k])
+    return cubes + (y[..., k] / h[k] - m[..., k] * h[k] / 6) * t + (y[..., k + 1] / h[k] - m[..., k + 1] * h[k] / 6) * u
 
 
-def warp(a: np.ndarray, b: np.ndarray, band: int | None = None) -> tuple[float, list[tuple[int, int]]]:
-    """(distance, path) of dynamic time warping with squared costs; the distance is sqrt(total) / sqrt(length of the path)."""
-    n, m = len(a), len(b)
-    total = np.full((n + 1, m + 1), np.inf)
+def warp(a: np.ndarray, b: np.ndarray, band: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distance, i, j) of dynamic time warping, with squared costs, of many pairs at once: the rows of a and of b.
+
+    Cells of one anti-diagonal depend on the two before it only, so that each is one step for all pairs. The band is a mask: j stays
+    within it of round(i m / n). i and j, from 0, are the cells of the path from the end on, padded with -1. Of equal
+    predecessors (i - 1, j) goes first, then (i, j - 1). A band that shuts the end out gives an infinite distance."""
+    (pairs, n), m = a.shape, b.shape[1]
+    total = np.full((n + 1, m + 1, pairs), np.inf)
     total[0, 0] = 0
-    for i, j in product(range(1, n + 1), range(1, m + 1)):
-        if band is None or abs(i - j * n / m) <= band:
-            total[i, j] = (a[i - 1] - b[j - 1]) ** 2 + min(total[i - 1, j], total[i, j - 1], total[i - 1, j - 1])
-    i, j, path = n, m, [(n - 1, m - 1)]
-    while (i, j) != (1, 1):
-        steps = [(i - 1, j), (i, j - 1), (i - 1, j - 1)]
-        i, j = min(steps, key=lambda s: total[s])
-        path.append((i - 1, j - 1))
-    return float(np.sqrt(total[n, m]) / np.sqrt(len(path))), path[::-1]
-
-
-def compare(a: np.ndarray, b: np.ndarray, times: np.ndarray, weights: tuple[float, float, float] = (0.5, 0.3, 0.2), points: int = 50) -> tuple[float, float, float, float]:
-    """(shape, amp, phase, cost) of two profiles: warping of their derivatives over the larger range of them, difference of ranges, and mean shift of the path."""
-    grid = np.linspace(times[0], times[-1], points)
-    fa, fb = natural_spline(times, a, grid), natural_spline(times, b, grid)
-    da, db = np.gradient(fa, grid), np.gradient(fb, grid)
-    distance, path = warp(da, db)
-    shape = min(1.0, distance / max(np.ptp(da), np.ptp(db), 1e-10))
-    amp = abs(np.ptp(fa) - np.ptp(fb)) / (np.ptp(fa) + np.ptp(fb) + 1e-10)
-    phase = min(1.0, float(np.mean([abs(j - i) for i, j in path])) / (points / 2))
-    return shape, amp, phase, weights[0] * shape + weights[1] * amp + weights[2] * phase
+    allowed = np.ones((n + 1, m + 1), bool) if band is None else np.abs(np.arange(m + 1) - np.round(np.arange(n + 1) * m / n)[:, None]) <= band
+    left, right = a.T, b.T
+    for d in range(2, n + m + 1):
+        i = np.arange(max(1, d - m), min(n, d - 1) + 1)
+        i = i[allowed[i, d - i]]
+        j = d - i
+        least = np.minimum(np.minimum(total[i - 1, j], total[i, j - 1]), total[i - 1, j - 1])
+        total[i, j] = (left[i - 1] - right[j - 1]) ** 2 + least
+    every = np.arange(pairs)
+    i, j = np.full(pairs, n), np.full(pairs, m)
+    path_i, path_j = (np.full((pairs, n + m - 1), -1) for _ in "ij")
+    path_i[:, 0], path_j[:, 0] = n - 1, m - 1
+    for step in range(1, n + m - 1):
+        going = (i > 1) | (j > 1)
+        if not going.any():
+            break
+        up, back, both = (np.where(ok, total[np.maximum(k, 0), np.maximum(q, 0), every], np.inf) for k, q, ok in ((i - 1, j, i > 1), (i, j - 1, j > 1), (i - 1, j - 1, (i > 1) & (j > 1))))
+        take_up = (j == 1) | ((i > 1) & (up <= back) & (up <= both))
+        take_back = ~take_up & ((i == 1) | (back <= both))
+        i, j = np.where(going & ~take_back, i - 1, i), np.where(going & ~take_up, j - 1, j)
+        path_i[going, step], path_j[going, step] = i[going] - 1, j[going] - 1
+    return np.sqrt(total[n, m]), path_i, path_j
+
+
+def _correlation(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Pearson's r of the rows of a and b; NaN where one is constant."""
+    a, b = a - a.mean(1, keepdims=True), b - b.mean(1, keepdims=True)
+    norm = np.sqrt((a * a).sum(1) * (b * b).sum(1))
+    return np.divide((a * b).sum(1), norm, out=np.full(len(a), np.nan), where=norm > 1e-12)
+
 
+#: What compare() gives, in the order of the result's columns.
+METRICS = ("shape", "amp", "phase", "cost", "distance", "pearson_r", "deriv_r", "range_wt", "range_mut", "path_length", "mean_deviation", "max_deviation")
 
-def centre_costs(pairs: DataFrame) -> DataFrame:
-    """wt, mut, shape, amp, phase, cost, range_wt, range_mut for pairs of centres (wt, mut, times, a, b: arrays)."""
+
+def compare(a: np.ndarray, b: np.ndarray, times: np.ndarray, weights: tuple[float, float, float] = (0.5, 0.3, 0.2), points: int = 100, band: int | None = None) -> dict[str, np.ndarray]:
+    """METRICS of pairs of profiles (rows of a and b) over the same times.
+
+    Derivatives of the splined curves on an even grid are warped onto each other: shape is their distance, over the root of the path's length and
+    the larger range of both, amp the difference of the profiles' own ranges over their sum, phase the path's mean way off the diagonal over
+    half the grid; cost weighs the three. pearson_r is of the profiles, deriv_r of the derivatives."""
+    grid = np.linspace(times[0], times[-1], points)
+    da, db = (np.gradient(natural_spline(times, v, grid), grid[1] - grid[0], axis=1) for v in (a, b))
+    distance, i, j = warp(da, db, band)
+    on = i >= 0
+    length, off = on.sum(1), np.where(on, np.abs(i - j), 0)
+    widest = np.maximum(np.maximum(np.ptp(da, axis=1), np.ptp(db, axis=1)), 1e-6)
+    shape = np.minimum(distance / np.sqrt(length) / (widest + 1e-6), 1)
+    ra, rb = np.ptp(a, axis=1), np.ptp(b, axis=1)
+    amp = np.abs(ra - rb) / (ra + rb + 1e-10)
+    mean = off.sum(1) / length
+    phase = np.minimum(mean / (points / 2), 1)
+    cost = weights[0] * shape + weights[1] * amp + weights[2] * phase
+    return dict(zip(METRICS, (shape, amp, phase, cost, distance, _correlation(a, b), _correlation(da, db), ra, rb, length, mean, off.max(1)), strict=True))
+
+
+def centre_costs(pairs: DataFrame, points: int = 100, band: int | None = None) -> DataFrame:
+    """wt, mut and METRICS for pairs of centres (wt, mut, times, a, b: arrays), a batch at once; r is null where a curve is constant.
+
+    Pairs whose arrays are null, hold nulls, differ in length or have less than two times give null metrics."""
+    most = 256  # pairs whose tables of sums are held at once: 20 MB at 100 points
 
     def run(batches):
-        for pdf in batches:
-            out = []
-            for wt, mut, times, a, b in zip(*(pdf[c] for c in ("wt", "mut", "times", "a", "b")), strict=True):
-                times, a, b = (np.array(v, float) for v in (times, a, b))
-                out.append((wt, mut, *(round(v, 6) for v in compare(a, b, times)), float(np.ptp(a)), float(np.ptp(b))))
-            yield pd.DataFrame(out, columns=["wt", "mut", "shape", "amp", "phase", "cost", "range_wt", "range_mut"])
+        for batch in batches:
+            for lo in range(0, len(batch), most):
+                pdf = batch.iloc[lo : lo + most].reset_index(drop=True)
+                out = pd.DataFrame(np.nan, index=pdf.index, columns=list(METRICS))
+                groups: dict[tuple, list[int]] = {}
+                for k, (t, a, b) in enumerate(zip(pdf["times"], pdf["a"], pdf["b"], strict=True)):
+                    if all(v is not None and not pd.isna(v).any() for v in (t, a, b)) and len(t) == len(a) == len(b) >= 2:
+                        groups.setdefault(tuple(t), []).append(k)
+                for t, rows in groups.items():
+                    a, b = (np.stack([np.array(v, float) for v in pdf.loc[rows, c]]) for c in "ab")
+                    for name, v in compare(a, b, np.array(t, float), points=points, band=band).items():
+                        out.loc[rows, name] = v
+                yield pd.concat([pdf[["wt", "mut"]], out.astype(object).where(out.notna(), None)], axis=1)
 
-    return pairs.select("wt", "mut", "times", "a", "b").mapInPandas(run, "wt int, mut int, shape double, amp double, phase double, cost double, range_wt double, range_mut double")
+    got = pairs.select("wt", "mut", "times", "a", "b").mapInPandas(run, "wt int, mut int, " + ", ".join(f"{c} double" for c in METRICS))
+    return got.withColumns({c: F.col(c).cast("int") for c in ("path_length", "max_deviation")})
+
+
+def priority(shape: Column, amp: Column, phase: Column, limits: tuple[float, float, float] = (0.15, 0.15, 0.25)) -> Column:
+    """Shape before Amp before Phase, all strict; else Conserved."""
+    return F.when(shape > limits[0], "Shape").when(amp > limits[1], "Amp").when(phase > limits[2], "Phase").otherwise("Conserved")
 
 
 def assignment(cost: np.ndarray) -> list[tuple[int, int]]:
@@ -106,22 +159,29 @@ def matched(costs: DataFrame) -> DataFrame:
     return costs.join(F.broadcast(costs.sparkSession.createDataFrame(pairs, "wt int, mut int")), ["wt", "mut"])
 
 
-def loess(x: np.ndarray, y: np.ndarray, grid: np.ndarray, span: float = 0.75) -> np.ndarray:
-    """Local regression with tricube weights: quadratic from five points, linear at four, a spline below that."""
+def loess(x: np.ndarray, y: np.ndarray, grid: np.ndarray, span: float = 0.4) -> np.ndarray:
+    """Local regression with tricube weights: quadratic from five points, linear at four (span 0.5 at least), a spline below that.
+
+    floor(span * n) nearest points count, the farthest of them with weight 0. Where these determine no polynomial
+    anywhere on the grid, the whole curve is the line through neighbouring points."""
     n = len(x)
     if n < 4:
         return natural_spline(x, y, grid)
-    degree, k = (2 if n >= 5 else 1), min(n, max(int(np.ceil(span * n)), 4 if n >= 5 else 3))
+    degree, k = (2, int(n * span + 1e-5)) if n >= 5 else (1, int(n * max(span, 0.5) + 1e-5))
     out = []
     for g in grid:
         d = np.abs(x - g)
-        w = np.clip(1 - (d / (np.sort(d)[k - 1] * 1.0001 + 1e-12)) ** 3, 0, None) ** 1.5
-        a = np.vander(x - g, degree + 1, increasing=True)
-        out.append(np.linalg.lstsq(a * w[:, None], y * w, rcond=None)[0][0])
+        reach = np.sort(d)[min(k, n) - 1] if k else 0.0
+        w = np.where(d < 0.999 * reach, np.clip(1 - (d / (reach or 1)) ** 3, 0, None) ** 1.5, 0.0)
+        a = np.vander(x - g, degree + 1, increasing=True) * w[:, None]
+        fit, _, rank, _ = np.linalg.lstsq(a, y * w, rcond=None)
+        if rank <= degree:
+            return np.interp(grid, x, y)
+        out.append(fit[0])
     return np.array(out)
 
 
-def smooth_peaks(profiles: DataFrame, points: int = 100, span: float = 0.75) -> DataFrame:
+def smooth_peaks(profiles: DataFrame, points: int = 100, span: float = 0.4) -> DataFrame:
     """gene, cond, peak: the first highest point of each smoothed profile (gene, cond, time, value). A profile is one row with its two arrays, smoothed batch by batch."""
     own = F.sort_array(F.collect_list(F.struct(F.col("time").cast("double").alias("x"), F.col("value").alias("y"))))
     arrays = profiles.filter("value IS NOT NULL").groupBy("gene", "cond").agg(own.alias("s")).select("gene", "cond", F.transform("s", lambda e: e["x"]).alias("x"), F.transform("s", lambda e: e["y"]).alias("y"))
@@ -132,7 +192,7 @@ def smooth_peaks(profiles: DataFrame, points: int = 100, span: float = 0.75) ->
             for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True):
                 x, y = np.array(x, float), np.array(y, float)
                 grid = np.linspace(x[0], x[-1], points)
-                peaks.append(round(float(grid[np.argmax(loess(x, y, grid, span))]), 6))
+                peaks.append(float(grid[np.argmax(loess(x, y, grid, span))]))
             yield pa.record_batch([b.column("gene"), b.column("cond"), pa.array(peaks, pa.float64())], names=["gene", "cond", "peak"])
 
     return arrays.mapInArrow(run, "gene string, cond string, peak double")
@@ -283,10 +343,10 @@ def fates(core: DataFrame, profiles: DataFrame, centres: DataFrame, counts: tupl
         x = np.stack(pdf["z"].map(lambda v: np.array(v, float)).to_list())
         u, centre = _cmeans(x, scanned_clusters(x, list(counts)))
         times, wt = np.array(pdf["times"].iloc[0], float), np.array(pdf["centre"].iloc[0], float)
-        metrics = np.round([compare(wt, c, times)[:3] for c in centre], 6)
+        metrics = compare(np.repeat(wt[None], len(centre), 0), centre, times)
         own = u.argmax(1)
         sizes = (u >= 0.5).sum(0)
-        return pd.DataFrame({"wt_cluster": pdf["wt_cluster"], "gene": pdf["gene"], "sub_cluster": own + 1, "membership": np.round(u[np.arange(len(x)), own], 6), "shape": metrics[own, 0], "amp": metrics[own, 1], "phase": metrics[own, 2], "size": sizes[own]})
+        return pd.DataFrame({"wt_cluster": pdf["wt_cluster"], "gene": pdf["gene"], "sub_cluster": own + 1, "membership": u[np.arange(len(x)), own], "shape": metrics["shape"][own], "amp": metrics["amp"][own], "phase": metrics["phase"][own], "size": sizes[own]})
 
     joined = core.join(profiles, "gene").join(F.broadcast(centres), "wt_cluster")
     out = joined.groupBy("wt_cluster").applyInPandas(one, "wt_cluster int, gene string, sub_cluster int, membership double, shape double, amp double, phase double, size int")

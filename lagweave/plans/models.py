@@ -127,25 +127,28 @@ def _costs(spark, sf):
 
 @query()
 def ts7_centre_costs(spark, sf):
-    return _costs(spark, sf)
+    """TS5 to TS7: every pair of centres with all metrics and the first dimension that differs."""
+    c = _costs(spark, sf).withColumn("priority", T.priority(F.col("shape"), F.col("amp"), F.col("phase")))
+    return c.select(*[F.round(n, 6).alias(n) if t == "double" else n for n, t in c.dtypes])
 
 
 @query()
 def ts8_matched_clusters(spark, sf):
     """TS8, TS9: clusters paired at least cost, with the status of each pair."""
-    return P.regulation_status(T.matched(_costs(spark, sf))).select("wt", "mut", "cost", "status")
+    return P.regulation_status(T.matched(_costs(spark, sf))).select("wt", "mut", F.round("cost", 6).alias("cost"), "status")
 
 
 @query()
 def ts11_fates(spark, sf):
     p = P.standardised(P.profiles(expression(spark, sf))).filter("cond = 'MUT'").groupBy("gene").agg(F.sort_array(F.collect_list(F.struct("time", "z"))).alias("s")).select("gene", F.transform("s", lambda x: x["z"]).alias("z"))
     core = P.best_cluster(memberships(spark, sf).filter("cond = 'WT'")).select("gene", F.col("cluster").alias("wt_cluster"))
-    return T.fates(core, p, _centres(spark, sf).filter("cond = 'WT'").select(F.col("cluster").alias("wt_cluster"), "times", F.col("c").alias("centre")))
+    f = T.fates(core, p, _centres(spark, sf).filter("cond = 'WT'").select(F.col("cluster").alias("wt_cluster"), "times", F.col("c").alias("centre")))
+    return f.withColumns({c: F.round(c, 6) for c in ("membership", "shape", "amp", "phase")})
 
 
 @query()
 def ts12_smooth_peaks(spark, sf):
-    return T.smooth_peaks(P.profiles(expression(spark, sf)))
+    return T.smooth_peaks(P.profiles(expression(spark, sf))).withColumn("peak", F.round("peak", 6))
 
 
 @query()

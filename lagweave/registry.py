@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import further, models, networks, relational
+from .plans import differential, further, models, networks, relational
 
-QUERIES: dict = {**relational.QUERIES, **networks.QUERIES, **models.QUERIES, **further.QUERIES}
-SQL: dict[str, str] = {**relational.SQL, **networks.SQL, **models.SQL, **further.SQL}
+QUERIES: dict = {**relational.QUERIES, **networks.QUERIES, **models.QUERIES, **further.QUERIES, **differential.QUERIES}
+SQL: dict[str, str] = {**relational.SQL, **networks.SQL, **models.SQL, **further.SQL, **differential.SQL}

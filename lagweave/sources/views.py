@@ -33,6 +33,18 @@ def expression_sql(by_type: bool = False) -> str:
     FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag IN ('A', 'R') GROUP BY ALL)"""
 
 
+def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """gene, sample, n: quantities of a brand and type by sample, which is the condition, time and replicate of `expression`."""
+    line = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag").isin("A", "R"))
+    sample = F.concat_ws("_", F.when(F.col("l_returnflag") == "A", "WT").otherwise("MUT"), F.year("l_shipdate") - 1995, F.col("l_linenumber") % 3)
+    part = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws("_", "p_brand", "p_type").alias("gene"))
+    return line.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("gene", sample.alias("sample")).agg(F.sum("l_quantity").cast("long").alias("n"))
+
+
+COUNTS_SQL = """counts AS (SELECT p_brand || '_' || p_type AS gene, CASE WHEN l_returnflag = 'A' THEN 'WT' ELSE 'MUT' END || '_' || CAST(year(l_shipdate) - 1995 AS INT) || '_' || CAST(l_linenumber % 3 AS INT) AS sample,
+      CAST(sum(l_quantity) AS BIGINT) AS n FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag IN ('A', 'R') GROUP BY ALL)"""
+
+
 def contrasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """contrast, gene, lfc, p: each condition and time against time 0, by a pooled t-test (a stand-in for a count model)."""
     from ..functions.maths import t_two_sided

@@ -46,12 +46,64 @@ def test_classes_are_total_and_disjoint(spark):
     assert set(got.values()) <= set(X.CLASSES) and got[True, False, True, False] == "Lost" and got[True, True, False, True] == "Conserved"
 
 
-def test_warp_and_compare():
-    x = np.array([0.0, 1, 4, 2, 0, 1, 3])
-    d, path = T.warp(x, x)
-    assert d == 0 and path == [(k, k) for k in range(7)]
-    shape, amp, phase, cost = T.compare(x, x, np.arange(7.0))
-    assert max(shape, amp, phase, cost) < 1e-9
+def plain_warp(x, y, band):
+    n, m = len(x), len(y)
+    d = np.full((n + 1, m + 1), np.inf)
+    d[0, 0] = 0
+    for i in range(1, n + 1):
+        for j in range(1, m + 1):
+            if band is None or abs(j - round(i * m / n)) <= band:
+                d[i, j] = (x[i - 1] - y[j - 1]) ** 2 + min(d[i - 1, j], d[i, j - 1], d[i - 1, j - 1])
+    i, j, path = n, m, [(n - 1, m - 1)]
+    while (i, j) != (1, 1):
+        i, j = min([p for p in ((i - 1, j), (i, j - 1), (i - 1, j - 1)) if min(p) >= 1], key=lambda p: d[p])
+        path.append((i - 1, j - 1))
+    return float(np.sqrt(d[n, m])), path
+
+
+@pytest.mark.parametrize("n, m, band", [(9, 9, None), (7, 11, None), (12, 12, 2), (1, 5, None), (4, 1, None), (8, 8, 0)])
+def test_warp_against_the_plain_recurrence(n, m, band):
+    draw = np.random.default_rng(5)
+    a, b = np.round(draw.normal(size=(20, n)), 1), np.round(draw.normal(size=(20, m)), 1)  # rounded, so that sums tie
+    distance, i, j = T.warp(a, b, band)
+    for k in range(20):
+        want, path = plain_warp(a[k], b[k], band)
+        assert distance[k] == pytest.approx(want) and [(x, y) for x, y in zip(i[k].tolist(), j[k].tolist(), strict=True) if x >= 0] == path
+
+
+def test_compare_against_a_plain_version():
+    draw, times = np.random.default_rng(6), np.array([0.0, 1, 2, 4, 7])
+    a, b = draw.normal(size=(6, 5)), draw.normal(size=(6, 5))
+    a[5] = b[5] = [0, 1, 3, 1, 0]
+    got, grid = T.compare(a, b, times), np.linspace(0, 7, 100)
+    for k in range(6):
+        da, db = (np.gradient(T.natural_spline(times, v[k], grid), grid) for v in (a, b))
+        d, path = plain_warp(da, db, None)
+        ra, rb, mean = np.ptp(a[k]), np.ptp(b[k]), np.mean([abs(i - j) for i, j in path])
+        want = min(1, d / np.sqrt(len(path)) / (max(np.ptp(da), np.ptp(db)) + 1e-6)), abs(ra - rb) / (ra + rb), min(1, mean / 50)
+        assert [got[c][k] for c in ("shape", "amp", "phase")] == pytest.approx(want) and got["cost"][k] == pytest.approx(np.dot(want, (0.5, 0.3, 0.2)))
+        assert got["distance"][k] == pytest.approx(d) and got["path_length"][k] == len(path) and got["max_deviation"][k] == max(abs(i - j) for i, j in path)
+        assert got["pearson_r"][k] == pytest.approx(np.corrcoef(a[k], b[k])[0, 1]) and got["deriv_r"][k] == pytest.approx(np.corrcoef(da, db)[0, 1])
+    assert got["cost"][5] < 1e-9
+
+
+def test_costs_of_odd_pairs(spark):
+    t = [0.0, 1.0, 2.0]
+    rows = [(1, 1, t, [0.0, 1.0, 0.0], [0.0, 2.0, 0.0]), (1, 2, t, None, [0.0, 1.0, 0.0]), (1, 3, t, [0.0, None, 1.0], t), (1, 4, t, [1.0, 1.0, 1.0], t), (1, 5, t, [1.0, 2.0], t), (2, 1, [0.0, 2.0], [0.0, 1.0], [0.0, 1.0])]
+    got = {(r.wt, r.mut): r for r in T.centre_costs(spark.createDataFrame(rows, "wt int, mut int, times array<double>, a array<double>, b array<double>")).collect()}
+    assert got[1, 1].amp == pytest.approx(1 / 3) and got[1, 1].pearson_r == pytest.approx(1.0)
+    assert got[2, 1].shape == pytest.approx(0, abs=1e-9) and got[2, 1].amp == 0 and got[2, 1].deriv_r is None
+    assert all(got[1, k].cost is None and got[1, k].path_length is None for k in (2, 3, 5))
+    assert got[1, 4].pearson_r is None and got[1, 4].deriv_r is None and got[1, 4].cost is not None
+
+
+def test_smoothing_is_local_or_a_line():
+    x, y = np.arange(15.0), np.random.default_rng(2).normal(size=15)
+    got = T.loess(x, y, np.array([7.25]))[0]
+    near = np.sort(np.abs(x - 7.25))[5]
+    w = np.clip(1 - (np.abs(x - 7.25) / near) ** 3, 0, None) ** 3
+    assert got == pytest.approx(np.polyval(np.polyfit(x, y, 2, w=np.sqrt(w)), 7.25))
+    assert T.loess(np.arange(7.0), y[:7], np.array([2.5]))[0] == pytest.approx((y[2] + y[3]) / 2)  # two points of seven give no parabola
 
 
 def test_assignment_against_all_permutations():
