@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from .common import fresh, stored, table
 
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
-#: Words of a block and blocks of a shard, on average: the grain of the mix, and what a task handles, at any size.
+#: Words of a block and blocks of a shard, on average, at most: what a task handles, at any size.
 BLOCK_WORDS, SHARD_BLOCKS = 1 << 16, 64
+#: Shards at least, and blocks of each, on average; blocks below the most words shrink until there are so many, down to the least words.
+LEAST_SHARDS, LEAST_BLOCKS, LEAST_WORDS = 64, 16, 128
 #: Blocks that are summed up before sums over all blocks of a source are taken; shards of a task.
 GROUPED, SHARDS_OF_TASK = 1024, 8
 
@@ -70,6 +72,11 @@ def quotas(blocks: np.ndarray, shards: int, shard: int, seed: int) -> tuple[np.n
     return before, have
 
 
+def grain(words: float) -> int:
+    """Words of a block for a mix of so many words: BLOCK_WORDS, or fewer, so that LEAST_SHARDS shards have LEAST_BLOCKS blocks each."""
+    return min(BLOCK_WORDS, max(LEAST_WORDS, int(words) // (LEAST_SHARDS * LEAST_BLOCKS)))
+
+
 def first_words(text: Column, n: Column) -> Column:
     """The text up to the end of its n-th word, native; whatever characters it holds, they stay."""
     words = F.filter(F.split(text, r"[ \x09-\x0D]+"), lambda w: w != "")
@@ -98,7 +105,7 @@ def mix(docs: DataFrame, seed: int = 17, shards: int | None = None, size: Column
     place its order after the local shuffle of its shard; shards and places of the plan are those of a document's draws. row_id is docs' own column of that name if it
     has one, else a number given here.
 
-    Every source is permuted by a keyed hash of its rows (id, source and whole text) and cut by that hash into blocks of about BLOCK_WORDS words; the target is reached by
+    Every source is permuted by a keyed hash of its rows (id, source and whole text) and cut by that hash into blocks of about grain() words; the target is reached by
     whole passes over the source and the first blocks of one more permutation, so a document gives at most
     twice its size. Block counts go to shards by quotas(). Sources are a table of a few numbers each, which the
     driver reads; documents, blocks and draws never leave the executors, and a hot source only has more blocks.
@@ -116,7 +123,8 @@ def mix(docs: DataFrame, seed: int = 17, shards: int | None = None, size: Column
     found = slim.groupBy("source").agg(F.sum("size").alias("n")).collect()
     found = sorted((r for r in found if r.source is not None), key=lambda r: [ord(c) for c in r.source]) + [r for r in found if r.source is None]
     goal = targets([r.n for r in found])
-    table_ = [(r.source, r.n, t, -(-max(1, r.n) // BLOCK_WORDS), k) for k, (r, t) in enumerate(zip(found, goal, strict=True))]
+    block_words = grain(sum(goal))
+    table_ = [(r.source, r.n, t, -(-max(1, r.n) // block_words), k) for k, (r, t) in enumerate(zip(found, goal, strict=True))]
     sources = spark.createDataFrame(table_, "source string, source_size long, target double, blocks long, source_no int")
     # two passes over each source at most, the second by another permutation
     seen = slim.join(sources, slim.source.eqNullSafe(sources.source)).drop(sources.source)
@@ -127,7 +135,7 @@ def mix(docs: DataFrame, seed: int = 17, shards: int | None = None, size: Column
     blocks = stored(before.filter("before < quota").select("source_no", "lap", "block", "before"), "mix-blocks")
     counts = {r.source_no: r["count"] for r in blocks.groupBy("source_no").count().collect()}
     have = np.array([counts.get(k, 0) for k in range(len(found))], np.int64)
-    n_shards = shards or -(-max(1, int(have.sum())) // SHARD_BLOCKS)
+    n_shards = shards or max(-(-max(1, int(have.sum())) // SHARD_BLOCKS), min(LEAST_SHARDS, int(have.sum()) // LEAST_BLOCKS))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -168,7 +176,8 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast("long"))
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_shards // SHARDS_OF_TASK))
-    return cut.repartition(tasks, shard).sortWithinPartitions(shard, place, row_id).select(*docs.columns)
+    ranges = F.floor(F.col(shard) * tasks / n_shards).cast("int")  # shards in a row, as many for each task
+    return cut.repartitionById(tasks, ranges).sortWithinPartitions(shard, place, row_id).select(*docs.columns)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

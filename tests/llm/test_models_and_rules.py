@@ -152,6 +152,30 @@ def test_taken_against_a_plain_pass(spark, monkeypatch):
         assert [sum(b[0] == no and v == {shard} for b, v in blocks.items()) for no in range(len(have))] == mixing.quotas(have, n_shards, shard, 17)[1].tolist()
 
 
+def test_grain_follows_the_input():
+    assert mixing.grain(0) == mixing.grain(1000) == mixing.LEAST_WORDS and mixing.grain(1e12) == mixing.BLOCK_WORDS
+    assert mixing.grain(3_000_000) == 3_000_000 // 1024
+
+
+def test_query_walks_the_tree(spark):
+    """Shards of the query on sf0.01: dozens, alike in words, and each source's words go to them near its share."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "source", "text")
+    draws, plan, n_shards = mixing.mix(docs)
+    got = draws.join(plan.select("row_id", "source_no", "target"), "row_id").groupBy("shard", "source_no", "target").sum("words").collect()
+    words, source = np.zeros(n_shards), {}
+    for shard, no, target, n in got:
+        words[shard] += n
+        source.setdefault((no, target), np.zeros(n_shards))[shard] += n
+    assert n_shards >= 32 and words.min() > 0.5 * words.mean() and words.max() < 1.5 * words.mean()
+    for (_, target), have in source.items():
+        assert have.sum() == pytest.approx(target, abs=1)
+        # a shard's words of a source lie within five deviations of a draw of whole blocks without replacement
+        share, block = target / words.sum(), mixing.grain(words.sum())
+        limit = 5 * np.sqrt(mixing.LEAST_BLOCKS * share * (1 - share) + 1) * 2 * block
+        assert np.abs(have - have.mean()).max() < limit
+    assert sum((v > 0).sum() for v in source.values()) > 200  # most sources reach many shards
+
+
 def test_first_words_keep_every_character(spark):
     from pyspark.sql import functions as F
 
