@@ -20,6 +20,8 @@ BUCKETS, PRIOR, LEAST_Z = 1 << 20, 1.0, 4.0
 DRIFT, CEILING = -0.35, 4.0
 #: Chance of its score in clean text of the document's length up to which a segment is significant.
 MOST_P = 0.01
+#: Share of clean texts, those of highest best segments, that the extreme-value law is fitted to.
+TAIL = 0.1
 #: Labelled documents that the classifier is fitted to (its documented bound), and those of them that fit its calibration; both are expected sizes of draws by a hash of the id.
 LABELLED, SAMPLE = 200_000, 20_000
 
@@ -149,15 +151,29 @@ def significant(n: int, found: list[tuple[int, int, float]], law: tuple[float, f
 
 
 def extreme_value(best: np.ndarray, n: np.ndarray) -> tuple[float, float]:
-    """(lambda, log K) of the law of the best of n tokens of clean text, P(best >= x) = 1 - exp(-K n e^(-lambda x)), by the method of moments on best - log(n) / lambda."""
-    if len(best) < 10 or best.std() < 1e-9:
+    """(lambda, log K) of the law of the best of n tokens of clean text, P(best >= x) = 1 - exp(-K n e^(-lambda x)), fitted to the tail.
+
+    Most clean texts have no token that scores, so that their best is 0, which is no draw from this law: bests below the TAIL
+    highest count as censored there. For a given lambda the likelihood's K is a quotient; lambda is where the rest is highest. With less than ten positive bests a cautious
+    law is taken as given."""
+    positive = np.sort(best[best > 0])
+    if len(positive) < 10:
         return 1.0, -4.0
-    lam = 1.0
-    for _ in range(50):
-        lam = np.pi / (np.sqrt(6) * max(1e-3, (best - np.log(np.maximum(n, 1)) / lam).std()))
-        lam = float(np.clip(lam, 0.2, 5.0))
-    shift = (best - np.log(np.maximum(n, 1)) / lam).mean() - 0.5772156649015329 / lam
-    return lam, float(lam * shift)
+    cut = max(positive[0], float(np.quantile(best, 1 - TAIL)))
+    above, n = best >= cut, np.maximum(n, 1)
+    x, count = np.where(above, best, cut) - cut, int(above.sum())
+
+    def fitted(lam: float) -> tuple[float, float]:
+        log_k = np.log(count) - np.log((n * np.exp(-lam * x)).sum())
+        return count * (log_k + np.log(lam)) - lam * x[above].sum(), log_k
+
+    low, high = np.log(0.05), np.log(20.0)
+    share = (np.sqrt(5) - 1) / 2
+    for _ in range(60):
+        a, b = high - share * (high - low), low + share * (high - low)
+        low, high = (low, b) if fitted(np.exp(a))[0] >= fitted(np.exp(b))[0] else (a, high)
+    lam = float(np.exp((low + high) / 2))
+    return lam, float(fitted(lam)[1] + lam * cut)
 
 
 def chance(n: np.ndarray, score: np.ndarray, law: tuple[float, float]) -> np.ndarray:
@@ -171,9 +187,11 @@ def surprise(n: np.ndarray, best: np.ndarray, law: tuple[float, float]) -> np.nd
     return np.where(best > 0, np.clip(-np.log10(np.maximum(chance(n, best, law), 1e-30)), 0, 30), 0.0)
 
 
-def features(n, best, total, law) -> np.ndarray:
-    n, best, total = (np.asarray(x, np.float64) for x in (n, best, total))
-    return np.stack([np.ones_like(best), np.log1p(best), surprise(n, best, law) / 10, np.log1p(total), total / np.maximum(n, 20), np.log1p(n) / 10], axis=1)
+def features(n, best, every, total, law) -> np.ndarray:
+    """Of texts of n tokens: their best segment with its surprise, the sums of every segment and of the significant ones, each also by length, and the length."""
+    n, best, every, total = (np.asarray(x, np.float64) for x in (n, best, every, total))
+    size = np.maximum(n, 20)
+    return np.stack([np.ones_like(best), np.log1p(best), surprise(n, best, law) / 10, np.log1p(total), total / size, np.log1p(n) / 10, np.log1p(every), every / size], axis=1)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -229,8 +247,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, tuple[float, fl
     law = extreme_value(best[y == 0], n[y == 0])
     total = np.array([sum(s for *_, s, _ in significant(r.n, [(0, 0, s) for s in r.scores], law)) for r in got], np.float64)
     if not len(y):
-        return weight, law, np.array([-5.0, 0, 1, 0, 0, 0])
-    return weight, law, logistic(features(n, best, total, law), y)
+        return weight, law, np.array([-5.0, 0, 1, 0, 0, 0, 0, 0])
+    every = np.array([sum(r.scores) for r in got], np.float64)
+    return weight, law, logistic(features(n, best, every, total, law), y)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, tuple[float, float], np.ndarray]) -> DataFrame:
@@ -245,14 +264,14 @@ def score(docs: DataFrame, model: tuple[np.ndarray, tuple[float, float], np.ndar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows(batches):
-            n, best, total, passages = [], [], [], []
+            n, best, every, total, passages = [], [], [], [], []
             for text in b.column("text").to_pylist():
                 tokens, found = evidence(text, given.value)
                 sure = significant(tokens, found, law)
-                n.append(tokens), best.append(max((s for *_, s in found), default=0.0)), total.append(float(sum(s for _, _, s, _ in sure)))
+                n.append(tokens), best.append(max((s for *_, s in found), default=0.0)), every.append(float(sum(s for *_, s in found))), total.append(float(sum(s for _, _, s, _ in sure)))
                 at = places(text or "", [(a, z) for a, z, *_ in sure])
                 passages.append([{"start": a, "end": z, "score": s, "p": q} for (a, z), (_, _, s, q) in zip(at, sure, strict=True)])
-            p = 1 / (1 + np.exp(-np.clip(features(n, best, total, law) @ w, -30, 30)))
+            p = 1 / (1 + np.exp(-np.clip(features(n, best, every, total, law) @ w, -30, 30)))
             yield pa.record_batch([b.column("doc_id"), b.column("held_out"), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32)), pa.array(n, pa.int64()), pa.array(best, pa.float64()), pa.array(total, pa.float64()), pa.array(passages, kind)], names=["doc_id", "held_out", "score", "predicted", "n", "best", "total", "segments"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, n long, best double, total double, segments array<struct<start:int,end:int,score:double,p:double>>")

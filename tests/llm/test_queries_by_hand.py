@@ -147,7 +147,7 @@ def toxicity_by_hand(rows, labels):
     y, n, best = np.array([f[0] for f in found], float), np.array([f[1] for f in found], float), np.array([max((s for *_, s in f[2]), default=0.0) for f in found])
     law = toxicity.extreme_value(best[y == 0], n[y == 0])
     sure = lambda n, segs: [(a, b, s) for a, b, s in segs if 1 - math.exp(-math.exp(min(50, max(-80, law[1] + math.log(max(n, 1)) - law[0] * s)))) <= toxicity.MOST_P]
-    row = lambda n, segs: (n, max((s for *_, s in segs), default=0.0), sum(s for *_, s in sure(n, segs)))
+    row = lambda n, segs: (n, max((s for *_, s in segs), default=0.0), sum(s for *_, s in segs), sum(s for *_, s in sure(n, segs)))
     w = toxicity.logistic(toxicity.features(*map(np.array, zip(*[row(n, segs) for _, n, segs in found], strict=True)), law), y)
     result = {}
     for i, t in rows:
