@@ -11,22 +11,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import rows, stored, table
 
 #: Codebooks, codewords of each, width of the beam, vectors that fit the codebooks (a documented bound), Lloyd rounds of each.
-BOOKS, WORDS, BEAM, SAMPLE, ROUNDS = 16, 256, 4, 16_384, 8
-#: Vectors of an index block, index blocks that a task looks through for a block of queries, at most, and queries of a block.
-BLOCK, TOGETHER, QUERIES = 4096, 16, 512
-#: Candidates of a query, of all blocks, that are scored exactly; queries that are scored exactly at a time.
-RERANK, EXACT = 256, 256
+BOOKS, WORDS, BEAM, SAMPLE, ROUNDS = 32, 256, 4, 16_384, 8
+#: Vectors of an index block and components of it, at most; index blocks that a task holds together, and queries of a block.
+BLOCK, COMPONENTS, TOGETHER, QUERIES = 4096, 1 << 18, 16, 512
+#: Candidates of a query in the index blocks of a task whose exact scores set the limit for all others; vectors that are scored exactly at a time.
+RERANK, EXACT = 256, 16_384
+#: Slack of the limit, above what rounding can do to an angle; the same for a plain inner product; decoded vectors shorter than this bound nothing.
+SLACK, ROUNDING, SHORT = 1e-7, 1e-9, 1e-3
 
 
 def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1; scaled by powers of two first, so that no square leaves the range of doubles."""
+    x = x / 2.0 ** np.floor(np.log2(np.abs(x).max(axis=1, keepdims=True)))
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
 def _nearest(x: np.ndarray, words: np.ndarray) -> np.ndarray:
-    return np.argmin((words * words).sum(1) - 2 * x @ words.T, axis=1)
+    x, words = x.astype(np.float32), words.astype(np.float32)
+    return np.argmin((words * words).sum(1) - x @ (2 * words.T), axis=1)
 
 
 def fit(sample: np.ndarray, books: int = BOOKS, words: int = WORDS, seed: int = 5) -> np.ndarray:
@@ -38,28 +43,38 @@ def fit(sample: np.ndarray, books: int = BOOKS, words: int = WORDS, seed: int =
         for _ in range(ROUNDS):
             at = _nearest(residual, book)
             n = np.bincount(at, minlength=words)
-            total = np.zeros_like(book)
-            np.add.at(total, at, residual)
-            book = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], residual[draw.integers(0, len(residual), words)])
+            used = np.flatnonzero(n)
+            starts = np.concatenate([[0], np.cumsum(n[used])[:-1]])
+            book = residual[draw.integers(0, len(residual), words)]
+            book[used] = np.add.reduceat(residual[np.argsort(at, kind="stable")], starts, axis=0) / n[used, None]
         out.append(book)
         residual = residual - book[_nearest(residual, book)]
     return np.stack(out)
 
 
-def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, squared norms of the decoded vectors): beam search over the books for the sum of codewords next to each row of x."""
-    n, (m, k, dim) = len(x), books.shape
-    # |x - p - c|^2 = |x - p|^2 + |c|^2 + 2 (p - x).c for a partial sum p and the next book's codeword c
-    cost, partial, codes = np.zeros((n, 1)), np.zeros((n, 1, dim)), np.zeros((n, 1, 0), np.int64)
-    for book in books:
-        grown = (cost[:, :, None] + (book * book).sum(1) + 2 * ((partial - x[:, None]) @ book.T)).reshape(n, -1)
-        width = min(beam, grown.shape[1])
-        best = np.argpartition(grown, width - 1, axis=1)[:, :width]
-        cost, source, word = np.take_along_axis(grown, best, 1), best // k, best % k
-        codes = np.concatenate([np.take_along_axis(codes, source[:, :, None], 1), word[:, :, None]], axis=2)
-        partial = np.take_along_axis(partial, source[:, :, None], 1) + book[word]
-    best, row = np.argmin(cost, axis=1), np.arange(n)
-    return codes[row, best].astype(np.uint8 if k <= 256 else np.int32), (partial[row, best] ** 2).sum(axis=1)
+def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, squared norms of the decoded vectors, their inner products with x): beam search over the books for the sum of codewords next to each row of x.
+
+    The beam is searched in single precision, norms and products are those of the codes chosen, in double precision."""
+    n, (_, k, dim) = len(x), books.shape
+    residual, codes, row = x.astype(np.float32)[:, None], np.zeros((n, 1, 0), np.int64), np.arange(n)
+    for book in books.astype(np.float32):
+        # |r - c|^2 = |r|^2 + |c|^2 - 2 r.c for what is left of a row and the next book's codeword c
+        grown = (residual.reshape(-1, dim) @ (-2 * book.T)).reshape(n, -1, k)
+        grown += (book * book).sum(1)
+        grown += (residual * residual).sum(axis=2, keepdims=True)
+        grown, best = grown.reshape(n, -1), []
+        for _ in range(min(beam, grown.shape[1])):
+            best.append(np.argmin(grown, axis=1))
+            grown[row, best[-1]] = np.inf
+        source, word = np.divmod(np.stack(best, axis=1), k)
+        codes = np.concatenate([codes[row[:, None], source], word[:, :, None]], axis=2)
+        residual = residual[row[:, None], source] - book[word]
+    codes = codes[row, np.argmin((residual * residual).sum(axis=2), axis=1)]
+    decoded = np.zeros((n, dim))
+    for book, word in zip(books, codes.T, strict=True):
+        decoded += book[word]
+    return codes.astype(np.uint8 if k <= 256 else np.int32), (decoded**2).sum(axis=1), (decoded * x).sum(axis=1)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -75,14 +90,24 @@ def usable(vectors: DataFrame) -> DataFrame:
     return some.join(sizes.select("dim"), F.size("v") == F.col("dim")).drop("dim")
 
 
-def _blocks(vectors: DataFrame, size: int, n: int) -> DataFrame:
-    """block long, ids binary, vectors binary; about `size` vectors of the n a block, dealt by a hash of their ids, in the order of the ids."""
-    count = max(1, -(-n // size))
+def _packed(x: np.ndarray) -> bytes:
+    """As single floats where that loses nothing."""
+    with np.errstate(over="ignore"):
+        single = x.astype("<f4")
+    return (single if np.array_equal(single, x) else x.astype("<f8")).tobytes()
+
+
+def _unpacked(raw: bytes, dim: int, n: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<f{len(raw) // (n * dim)}").reshape(n, dim).astype(np.float64)
+
+
+def _blocks(vectors: DataFrame, count: int) -> DataFrame:
+    """block long, ids binary, vectors binary; the vectors in `count` blocks, dealt by a hash of their ids, in the order of the ids."""
     dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(count)))
 
     def gather(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("vec_id")
-        return pd.DataFrame({"block": [int(group["block"].iloc[0])], "ids": [group["vec_id"].to_numpy("<i8").tobytes()], "vectors": [np.stack(group["v"].to_numpy()).astype("<f8").tobytes()]})
+        return pd.DataFrame({"block": [int(group["block"].iloc[0])], "ids": [group["vec_id"].to_numpy("<i8").tobytes()], "vectors": [_packed(np.stack(group["v"].to_numpy()))]})
 
     return dealt.groupBy("block").applyInPandas(gather, "block long, ids binary, vectors binary")
 
@@ -96,15 +121,62 @@ def _best(near: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate([sure, even[np.argsort(ids[even], kind="stable")][: n - len(sure)]])
 
 
+def _nearest_exactly(x: np.ndarray, ids: np.ndarray, q: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, scores) of the k rows of x[at] with the largest inner products with q, ties to the smaller id; equal rows score equally."""
+    if len(at) > k:
+        rough = (x @ q)[at] if 4 * len(at) > len(x) else np.concatenate([x[at[i : i + EXACT]] @ q for i in range(0, len(at), EXACT)])
+        at = at[rough >= np.partition(rough, len(at) - k)[len(at) - k] - ROUNDING]
+    scores = np.concatenate([(x[at[i : i + EXACT]] * q).sum(axis=1) for i in range(0, len(at), EXACT)] or [np.zeros(0)]) + 0.0
+    best = np.lexsort((ids[at], -scores))[:k]
+    return at[best], scores[best]
+
+
+class _Slice:
+    """Index blocks that a task holds together: unit vectors, codes by book, and what bounds a vector's score from its code.
+
+    With d the decoded vector's direction, `cosine` and `sine` are those of the angle between d and the vector; a vector whose
+    code says nothing, because the decoded one is next to zero, has 0 and 1."""
+
+    def __init__(self, blocks: list[dict], books: np.ndarray):
+        m, words, dim = books.shape
+        self.books, self.ids = books, np.concatenate([np.frombuffer(r["ids"], "<i8") for r in blocks])
+        self.x = np.concatenate([unit(_unpacked(r["vectors"], dim, len(r["ids"]) // 8)) for r in blocks])
+        codes = [np.frombuffer(r["codes"], "<u1" if words <= 256 else "<i4").reshape(-1, m) for r in blocks]
+        self.codes = np.ascontiguousarray(np.concatenate(codes).T, np.intp)
+        length = np.sqrt(np.concatenate([np.frombuffer(r["norms"], "<f8") for r in blocks]))
+        self.inverse = np.where(length < SHORT, 0.0, 1 / np.maximum(length, SHORT))
+        self.cosine = np.clip(np.concatenate([np.frombuffer(r["products"], "<f8") for r in blocks]) * self.inverse, -1, 1)
+        self.sine = np.sqrt(1 - self.cosine**2)
+
+    def nearest(self, query_id: int, q: np.ndarray, k: int, rerank: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, scores) of the k vectors that are truly nearest to the unit vector q, without the one of that id."""
+        lookup = self.books @ q
+        near = lookup[0][self.codes[0]]
+        for table_, codes in zip(lookup[1:], self.codes[1:], strict=True):
+            near += table_[codes]
+        near *= self.inverse
+        near[self.ids == query_id] = -np.inf
+        first = _best(near, self.ids, rerank)
+        first = first[near[first] > -np.inf]
+        at, scores = _nearest_exactly(self.x, self.ids, q, first, k)
+        if len(first) < rerank or not len(scores):
+            return at, scores  # these were all
+        # A vector scores t or more only if it lies within arccos(t) of q, so that d lies within that and the angle between both.
+        t = float(np.clip(scores[-1], -1, 1)) if len(scores) == k else -1.0
+        least = np.where(self.cosine <= -t, -2.0, self.cosine * t - self.sine * np.sqrt(1 - t * t) - SLACK)
+        return _nearest_exactly(self.x, self.ids, q, np.union1d(first, np.flatnonzero(near >= least)), k)
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, rerank: int = RERANK) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found of each query by cosine, ties to the smaller id, without itself.
+    """query_id, rank, vec_id, score: the k nearest of each query by cosine, ties to the smaller id, without itself.
 
     vectors and queries are usable() tables. The codebooks are fitted to at most SAMPLE unit vectors, those with the
-    least hashes of their ids. Every vector is encoded; the index, codes and norms by blocks, is written to the shared folder.
-    Each block of queries meets each block of the index once, codes only: tables of inner products with all codewords score
-    them, and a task keeps a query's `rerank` best of the blocks that it looks through. The `rerank` best of all are fetched by their ids,
-    each vector once for EXACT queries, and scored exactly in double precision. Fewer candidates than k give fewer rows; no
-    vectors give none. Equal vectors get equal scores.
+    least hashes of their ids. Every vector is encoded; the index, by blocks of ids, vectors, codes, norms of the decoded vectors and their
+    products with the vectors, is written to the shared folder. TOGETHER index blocks make a slice, which a task holds while blocks of queries pass: tables of inner
+    products with all codewords score the slice's codes, the `rerank` best are scored exactly in double precision, and the k-th of these scores is the limit for the others: every vector
+    whose code does not rule out that it reaches the limit is scored exactly too. So the k of a slice are its true ones on any vectors, codes that tell little cost time only, and
+    k rows of a query leave a slice. Queries are split into groups only where there are fewer slices than tasks, so that large indexes move once.
+    Fewer candidates than k give fewer rows; no vectors give none. Equal vectors get equal scores.
     """
     spark = vectors.sparkSession
     vectors, queries = stored(vectors, "ann-vectors"), stored(queries, "ann-queries")
@@ -116,87 +188,51 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, rerank: int = RER
     few = vectors.filter(key < int(min(1.0, 2 * SAMPLE / n) * (1 << 40)) + 1) if n > 4 * SAMPLE else vectors
     sample = np.array([r.v for r in few.orderBy(key, "vec_id").limit(SAMPLE).select("v").collect()], np.float64)
     books = fit(unit(sample))
+    size = max(1, min(BLOCK, COMPONENTS // books.shape[2]))
 
     def add_codes(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dim = books.shape[2]
-        for b in group:
-            codes, norms = [], []
-            for raw in b.column("vectors").to_pylist():
-                x = unit(np.frombuffer(raw, "<f8").reshape(-1, dim))
+        for b in rows(group):
+            codes, norms, products = [], [], []
+            for ids, raw in zip(b.column("ids").to_pylist(), b.column("vectors").to_pylist(), strict=True):
+                x = unit(_unpacked(raw, books.shape[2], len(ids) // 8))
                 parts = [encode(x[at : at + 512], books) for at in range(0, len(x), 512)]
                 codes.append(np.concatenate([p[0] for p in parts]).astype("<u1" if books.shape[1] <= 256 else "<i4").tobytes())
                 norms.append(np.concatenate([p[1] for p in parts]).astype("<f8").tobytes())
-            yield pa.record_batch([b.column("block"), b.column("ids"), pa.array(codes, pa.binary()), pa.array(norms, pa.binary())], names=["block", "ids", "codes", "norms"])
-
-    index = stored(_blocks(vectors, BLOCK, n).mapInArrow(add_codes, "block long, ids binary, codes binary, norms binary"), "ann-index")
-    asked = _blocks(queries, QUERIES, n_queries).select(F.col("block").alias("asked"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    n_asked, n_slices = max(1, -(-n_queries // QUERIES)), max(1, -(-n // (BLOCK * TOGETHER)))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_asked - 1).cast("long")))
-    dealt = index.withColumns({"asked": every, "slice": F.pmod("block", F.lit(n_slices))})
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_asked * n_slices)
-    met = dealt.join(asked, "asked").repartition(tasks, "asked", "slice").sortWithinPartitions("asked", "slice", "block")
+                products.append(np.concatenate([p[2] for p in parts]).astype("<f8").tobytes())
+            added = [pa.array(c, pa.binary()) for c in (codes, norms, products)]
+            yield pa.record_batch([b.column("block"), b.column("ids"), b.column("vectors"), *added], names=["block", "ids", "vectors", "codes", "norms", "products"])
+
+    index = stored(_blocks(vectors, -(-n // size)).mapInArrow(add_codes, "block long, ids binary, vectors binary, codes binary, norms binary, products binary"), "ann-index")
+    n_asked, n_slices = -(-n_queries // QUERIES), -(-n // (size * TOGETHER))
+    at_once = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_groups = max(1, min(n_asked, -(-at_once // n_slices)))
+    each = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
+    held = index.withColumns({"slice": F.pmod("block", F.lit(n_slices)), "asked": F.lit(False), "group": each(n_groups)})
+    asked = _blocks(queries, n_asked).withColumns({"group": F.pmod("block", F.lit(n_groups)), "asked": F.lit(True), "slice": each(n_slices)})
+    met = held.unionByName(asked, allowMissingColumns=True).repartition(max(at_once, n_groups * n_slices), "group", "slice").sortWithinPartitions("group", "slice", "asked", "block")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, words, dim = books.shape
-        own, kept = None, {}
-
-        def give() -> pa.RecordBatch:
-            found = list(kept.items())
-            sizes = [len(v[0]) for _, v in found]
-            columns = [np.repeat([q for q, _ in found], sizes), np.concatenate([v[1] for _, v in found]), np.concatenate([v[0] for _, v in found])]
-            return pa.record_batch([pa.array(c.astype(t)) for c, t in zip(columns, (np.int64, np.int64, np.float64), strict=True)], names=["query_id", "vec_id", "near"])
-
-        for b in batches:
+        own, blocks, together = None, [], None
+        for b in rows(batches):
             for row in b.to_pylist():
-                if own != (row["asked"], row["slice"]):
-                    if kept:
-                        yield give()
-                    own, kept = (row["asked"], row["slice"]), {}
-                ids = np.frombuffer(row["ids"], "<i8")
-                codes = np.frombuffer(row["codes"], "<u1" if words <= 256 else "<i4").reshape(-1, m).astype(np.int64)
-                length = np.sqrt(np.maximum(np.frombuffer(row["norms"], "<f8"), 1e-12))
-                q_ids, q = np.frombuffer(row["q_ids"], "<i8"), unit(np.frombuffer(row["q_vectors"], "<f8").reshape(-1, dim))
-                for query_id, one in zip(q_ids.tolist(), q, strict=True):
-                    lookup = books @ one
-                    near = lookup[0][codes[:, 0]]
-                    for j in range(1, m):
-                        near += lookup[j][codes[:, j]]
-                    near /= length
-                    near[ids == query_id] = -np.inf
-                    at = _best(near, ids, rerank)
-                    before = kept.get(query_id)
-                    both = (near[at], ids[at]) if before is None else (np.concatenate([before[0], near[at]]), np.concatenate([before[1], ids[at]]))
-                    at = _best(*both, rerank)
-                    kept[query_id] = both[0][at], both[1][at]
-        if kept:
-            yield give()
-
-    found = met.mapInArrow(score, "query_id long, vec_id long, near double").filter("vec_id <> query_id")
-    place = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("near"), "vec_id"))
-    chosen = found.withColumn("place", place).filter(F.col("place") <= rerank)
-    some = F.pmod(F.xxhash64("query_id"), F.lit(max(1, -(-n_queries // EXACT))))
-    wanted = chosen.withColumn("some", some).groupBy("some", "vec_id").agg(F.collect_list("query_id").alias("asking")).join(vectors, "vec_id")
-    given = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).withColumn("some", some)
-
-    def exact(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """The k nearest of each query of a group among the vectors fetched for it."""
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "rank": [], "vec_id": [], "score": []})
-        q_ids = right["query_id"].to_numpy(np.int64)
-        order = np.argsort(q_ids)
-        q = unit(np.stack(right["q"].to_numpy()).astype(np.float64))[order]
-        ids, x = left["vec_id"].to_numpy(np.int64), unit(np.stack(left["v"].to_numpy()).astype(np.float64))
-        row = np.repeat(np.arange(len(ids)), left["asking"].map(len).to_numpy())
-        of = np.searchsorted(q_ids[order], np.concatenate(left["asking"].to_numpy()))
-        scores = np.concatenate([(x[row[at : at + 65536]] * q[of[at : at + 65536]]).sum(axis=1) for at in range(0, len(row), 65536)])
-        best = np.lexsort((ids[row], -scores, of))
-        of, row, scores = of[best], row[best], scores[best]
-        start = np.concatenate([[True], of[1:] != of[:-1]])
-        rank = np.arange(len(of)) - np.flatnonzero(start)[np.cumsum(start) - 1] + 1
-        keep = rank <= k
-        return pd.DataFrame({"query_id": q_ids[order][of[keep]], "rank": rank[keep], "vec_id": ids[row[keep]], "score": scores[keep]})
-
-    return wanted.groupBy("some").cogroup(given.groupBy("some")).applyInPandas(exact, schema)
+                if own != (row["group"], row["slice"]):
+                    own, blocks, together = (row["group"], row["slice"]), [], None
+                if not row["asked"]:
+                    blocks.append(row)
+                    continue
+                if together is None and blocks:
+                    together, blocks = _Slice(blocks, books), []
+                if together is None:
+                    continue
+                q_ids = np.frombuffer(row["ids"], "<i8")
+                q = unit(_unpacked(row["vectors"], books.shape[2], len(q_ids)))
+                found = [together.nearest(query_id, one, k, rerank) for query_id, one in zip(q_ids.tolist(), q, strict=True)]
+                columns = [np.repeat(q_ids, [len(at) for at, _ in found]), together.ids[np.concatenate([at for at, _ in found])], np.concatenate([s for _, s in found])]
+                yield pa.record_batch([pa.array(c.astype(t)) for c, t in zip(columns, (np.int64, np.int64, np.float64), strict=True)], names=["query_id", "vec_id", "score"])
+
+    found = met.mapInArrow(score, "query_id long, vec_id long, score double")
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op1_additive_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:

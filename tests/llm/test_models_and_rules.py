@@ -233,6 +233,53 @@ def test_recall_where_few_are_scored_exactly(spark, monkeypatch):
     assert len(got) == 60 and hit >= 0.9 * 300
 
 
+@pytest.mark.parametrize("kind", ["tight", "wide", "scales", "far"])
+def test_neighbours_where_codes_tell_little(spark, monkeypatch, kind):
+    """The truly nearest, in order, where the codes' own order does not have them among its first: a tight group among spread vectors,
+    wide vectors, distances of many scales, and components whose squares leave the range of doubles; over several slices and groups of queries."""
+    monkeypatch.setattr(ann, "BLOCK", 500)
+    monkeypatch.setattr(ann, "TOGETHER", 3)
+    monkeypatch.setattr(ann, "QUERIES", 30)
+    monkeypatch.setattr(ann, "SAMPLE", 1000)
+    from pyspark.sql import functions as F
+
+    draw = np.random.default_rng(8)
+    n, dim = (2500, 160) if kind == "wide" else (4000, 40)
+    x, centres = draw.normal(size=(n, dim)), draw.normal(size=(8, dim))
+    if kind == "tight":
+        x[::2] = centres[0] + 1e-3 * x[::2]
+    if kind == "scales":
+        x = centres[draw.integers(0, 8, n)] + 10.0 ** draw.uniform(-5, 0, size=(n, 1)) * x
+    times = 2.0 ** draw.choice([-700, 0, 700], size=(n, 1)) if kind == "far" else np.ones((n, 1))
+    vectors = spark.createDataFrame([(k, r) for k, r in enumerate((x * times).tolist())], "vec_id long, embedding array<double>")
+    vectors = ann.usable(vectors)
+    got = ann.search(vectors, vectors.filter(F.col("vec_id") % 50 == 0), rerank=20).collect()
+    u, want = x / np.sqrt((x * x).sum(1, keepdims=True)), []
+    for q in range(0, n, 50):
+        s = (u * u[q]).sum(1)
+        want += [(q, rank, j) for rank, j in enumerate([j for j in np.lexsort((np.arange(n), -s)) if j != q][:5], 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == want
+    assert all(abs(r.score - (u[r.query_id] * u[r.vec_id]).sum()) < 1e-12 for r in got)
+
+
+def test_codes_bound_scores():
+    """No vector outscores what its code allows, and codes tell enough of vectors without groups to leave most of them out."""
+    x = ann.unit(np.random.default_rng(2).normal(size=(4000, 32)))
+    books = ann.fit(x[:2000], books=16)
+    codes, norms, products = ann.encode(x, books)
+    decoded = books[np.arange(16), codes.astype(int)].sum(1)
+    assert np.allclose((decoded**2).sum(1), norms) and np.allclose((decoded * x).sum(1), products)
+    ids = np.arange(4000)
+    row = {"ids": ids.astype("<i8").tobytes(), "vectors": ann._packed(x), "codes": codes.tobytes(), "norms": norms.tobytes(), "products": products.tobytes()}
+    together, scored, plain = ann._Slice([row], books), [], ann._nearest_exactly
+    for q in range(0, 4000, 100):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(ann, "_nearest_exactly", lambda x, ids, q, at, k: (scored.append(len(at)), plain(x, ids, q, at, k))[1])
+            at, _ = together.nearest(q, x[q], 5, 20)
+        assert at.tolist() == [j for j in np.lexsort((ids, -(x * x[q]).sum(1))) if j != q][:5]
+    assert np.median(scored[1::2]) < 1000
+
+
 def test_vectors_of_other_types_and_names(spark):
     from pyspark.sql import functions as F
 
